@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setlake.llm import arrow_files, exact_dedup, langid, packing, secrets
+from setlake.llm import arrow_files, exact_dedup, langid, packing, secrets, simhash, substring_dedup
 
 #: Vocabulary files; any files of the same kinds can be given to the operators.
 TOKENIZER_JSON, TOKENIZER_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
@@ -20,6 +20,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(_documents(spark, sf_dir))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), TOKENIZER_JSON)
 
@@ -43,11 +51,19 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_best_fit_packing, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_best_fit_packing, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_substring_dedup": r"""
+            WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+            win AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS k FROM w, unnest(range(1, len(ws) - 18)) AS t(s)),
+            late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+            gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM late, unnest(range(s, s + 20)) AS t(p) GROUP BY doc_id)
+            SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
+                   sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+            FROM w LEFT JOIN gone USING (doc_id)""",
         "op8_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
