@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setlake.llm import arrow_files, exact_dedup, langid, packing, secrets, simhash, substring_dedup
+from setlake.llm import arrow_files, bpe, exact_dedup, langid, packing, secrets, simhash, substring_dedup
 
 #: Vocabulary files; any files of the same kinds can be given to the operators.
 TOKENIZER_JSON, TOKENIZER_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
@@ -32,6 +32,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), TOKENIZER_JSON)
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_documents(spark, sf_dir), TOKENIZER_RANKS, public_tokenizers.PATTERN)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_files.round_trip(_documents(spark, sf_dir), TOKENIZER_JSON)
 
@@ -51,7 +55,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_best_fit_packing, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
