@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setlake.llm import arrow_files, bpe, exact_dedup, langid, packing, secrets, simhash, substring_dedup
+from setlake.llm import arrow_files, bpe, exact_dedup, langid, line_dedup, packing, secrets, simhash, substring_dedup
 
 #: Vocabulary files; any files of the same kinds can be given to the operators.
 TOKENIZER_JSON, TOKENIZER_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
@@ -20,6 +20,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(_documents(spark, sf_dir))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_words(_documents(spark, sf_dir))
 
@@ -55,7 +59,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
