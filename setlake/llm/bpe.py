@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from setlake.llm.common import arrow_rows
-from setlake.llm.tokens import ChunkEncoder
+from setlake.llm.tokens import CACHE_CHARS, CACHE_ENTRIES, ChunkEncoder, Recent
 
 #: Bytes from which a word counts as long, words' bytes in one query, steps before rows are renewed, ids decoded in one group.
 LONG, QUERY_BYTES, STEPS, DECODE_IDS = 256, 1 << 17, 64, 1 << 16
@@ -82,7 +82,7 @@ class BytePairs:
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS FROM given")
             self.db.unregister("given")
-        self.words: dict[str, bytes] = {}
+        self.words = Recent(CACHE_ENTRIES)
 
     def _contract(self, words: list[bytes], long: bool) -> list[bytes]:
         """The ids of each word. Positions count through all words, so that their order is that of the rows."""
@@ -128,12 +128,13 @@ class BytePairs:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.pattern.findall(t) for t in texts]
-        if len(self.words) > 200_000:
-            self.words.clear()
-        found = self._learn([w for w in set().union(*split) if w not in self.words])
-        self.words.update((w, i) for w, i in found.items() if len(w) <= 48)
-        get = lambda w: self.words[w] if w in self.words else found[w]
-        return [b"".join(map(get, words)) for words in split]
+        found = self._learn(self.words.missing(set().union(*split)))
+        self.words.now.update(found)
+        out = [b"".join(map(self.words.now.__getitem__, words)) for words in split]
+        for w in found:
+            if len(w) > CACHE_CHARS:
+                del self.words.now[w]
+        return out
 
     def decode(self, documents: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""

@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setlake.llm import arrow_files, bpe, exact_dedup, langid, line_dedup, packing, secrets, simhash, substring_dedup
+from setlake.llm import arrow_files, bpe, exact_dedup, langid, line_dedup, media, packing, secrets, simhash, substring_dedup
 
 #: Vocabulary files; any files of the same kinds can be given to the operators.
 TOKENIZER_JSON, TOKENIZER_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
@@ -58,8 +58,14 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
 
+def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no images, so each vector is drawn as one."""
+    images = media.render_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return media.copy_classes(images)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_media_copies)}
 
 
 def oracle_sql() -> dict[str, str]:

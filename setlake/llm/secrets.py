@@ -26,6 +26,7 @@ import zlib
 from functools import cache
 
 import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,8 +163,6 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 def redact_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with the secrets in its text column replaced by ``[SECRET]``; every row and column stays."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         return pd.Series([redact(t, find_secrets(t)) for t in texts], dtype=object)

@@ -31,6 +31,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -339,8 +340,6 @@ def repeated_words(df: DataFrame, batches: int = 3, id_col: str = "doc_id", text
 
 def drop_repeats(df: DataFrame, batches: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with repeated passages taken out of its texts (kept words joined by one space); unrepeated texts stay as they are."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def clean(texts: pd.Series, gone: pd.Series) -> pd.Series:
         return pd.Series([t if g is None else _cleaned(t.encode(), g)[2].decode() for t, g in zip(texts, gone, strict=True)], dtype=object)

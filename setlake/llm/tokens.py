@@ -1,23 +1,52 @@
-"""Whole-text encoding by a byte-level BPE file of the ``tokenizers`` library, cached by space-separated chunk.
+"""Whole-text encoding by a byte-level BPE file of the ``tokenizers`` library, cached by chunk and by word.
 
 The pre-tokenizer always cuts in front of a single space between two other characters, so a text
-falls into independent chunks there. Each distinct chunk is encoded by the library once and its ids
-are looked up afterwards. Where a chunk begins or ends in white space (or is empty) the cut is not
-certain, and the whole text goes through the library at once. Both ways give the library's own ids.
+falls into independent chunks there. Each distinct chunk is cut into words by the pre-tokenizer's
+pattern, each distinct word is encoded by the library's model, and both are looked up afterwards.
+Where a chunk begins or ends in white space (or is empty) the cut is not certain, and the whole text
+goes through the library at once, as do chunks with characters whose class may differ between
+versions of Unicode. All ways give the library's own ids.
 """
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import cache
 
 import numpy as np
+import regex
 
-#: Entries that a worker keeps; the cache is emptied beyond that. Longer chunks are not kept.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
+#: Entries that a worker keeps, of chunks and of words. Longer ones are not kept.
+CACHE_ENTRIES, CACHE_CHARS = 800_000, 48
 #: Characters that some libraries count as white space and others don't.
-_DOUBTFUL = frozenset("\x1c\x1d\x1e\x1f\x85᠎​⁠﻿")
+_DOUBTFUL = frozenset("\x1c\x1d\x1e\x1f\x85\u180e\u200b\u2060\ufeff")
+#: The public byte-level pattern (fixed value), and what it is trusted on: Latin text without control characters that are disputed.
+_PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+_PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\u024f]*")
+
+
+class Recent:
+    """A dictionary of what was used lately: two generations of at most half of ``size`` entries."""
+
+    def __init__(self, size: int) -> None:
+        self.now: dict = {}
+        self._before: dict = {}
+        self._half = size // 2
+
+    def missing(self, keys: Iterable) -> list:
+        """The keys that are not known; the others are in ``now`` afterwards."""
+        if len(self.now) > self._half:
+            self._before, self.now = self.now, {}
+        now, before, out = self.now, self._before, []
+        for k in keys:
+            if k not in now:
+                if k in before:
+                    now[k] = before[k]
+                else:
+                    out.append(k)
+        return out
 
 
 def _certain(chunk: str) -> bool:
@@ -27,17 +56,15 @@ def _certain(chunk: str) -> bool:
 class ChunkEncoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
-        self._encode = encode
-        self._cache: dict[str, bytes | None] = {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[list[str]], list[bytes]] | None = None) -> None:
+        self._encode, self._whole = encode, whole or encode
+        self._recent = Recent(CACHE_ENTRIES)
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, without special tokens; null counts as empty."""
         split = [(t or "").split(" ") for t in texts]
-        if len(self._cache) > CACHE_ENTRIES:
-            self._cache.clear()
-        known, extra = self._cache, {}
-        new = [c for c in set().union(*(s[1:] for s in split)) if c not in known]
+        new = self._recent.missing(set().union(*(s[1:] for s in split)))
+        known, extra = self._recent.now, {}
         for chunk in new:
             if not _certain(chunk):
                 known[chunk] = None
@@ -45,8 +72,8 @@ class ChunkEncoder:
         for chunk, ids in zip(new, self._encode([" " + c for c in new]), strict=True):
             (known if len(chunk) <= CACHE_CHARS else extra)[chunk] = ids
         heads = [s[0] for s in split]
-        head_ids = self._encode([h if not h or _certain(h) else "" for h in heads])
-        get = known.get if not extra else lambda c: known[c] if c in known else extra[c]
+        head_ids = self._encode([h if _certain(h) else "" for h in heads])
+        get = known.__getitem__ if not extra else lambda c: known[c] if c in known else extra[c]
         out: list[bytes | None] = []
         for text, parts, head, ids in zip(texts, split, heads, head_ids, strict=True):
             if len(parts) == 1:
@@ -59,11 +86,18 @@ class ChunkEncoder:
                 except TypeError:  # a chunk without a certain cut
                     out.append(None)
         whole = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return out
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself where it is printable, else the next free one from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 @cache
 def encoder(path: str) -> ChunkEncoder:
     """The encoder of a ``tokenizers`` JSON file; one a worker process."""
@@ -72,7 +106,30 @@ def encoder(path: str) -> ChunkEncoder:
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    return ChunkEncoder(lambda texts: [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else [])
+    listed = lambda t, texts: [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    pre = given["pre_tokenizer"] or {}
+    if given["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        return ChunkEncoder(lambda texts: listed(tok, texts))
+    bare = Tokenizer.from_file(path)
+    bare.encode_special_tokens = True
+    bare.pre_tokenizer = None
+    letters, words = byte_letters(), Recent(CACHE_ENTRIES)
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        plain = [_PATTERN.findall(c) if _PLAIN.fullmatch(c) else None for c in chunks]
+        odd = iter(listed(tok, [c for c, p in zip(chunks, plain, strict=True) if p is None]))
+        new = words.missing(set().union(*(p for p in plain if p)))
+        found = dict(zip(new, listed(bare, [w.encode().decode("latin-1").translate(letters) for w in new]), strict=True))
+        words.now.update(found)
+        out = [next(odd) if p is None else b"".join(map(words.now.__getitem__, p)) for p in plain]
+        for w in found:
+            if len(w) > CACHE_CHARS:
+                del words.now[w]
+        return out
+
+    return ChunkEncoder(encode, lambda texts: listed(tok, texts))
 
 
 @cache
