@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from setlake.llm import catalogue, exact_dedup, langid, packing, secrets
+from setlake.llm import catalogue, exact_dedup, langid, packing, secrets, simhash
 from setlake.llm.common import materialise
 
 #: Tokens of a packed sequence.
@@ -21,6 +21,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked the one with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced."""
     return secrets.redact_secrets(docs)
@@ -34,6 +39,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", identify_language),
     ("exact_dedup", drop_copies),
+    ("simhash_near_dedup", drop_near_copies),
     ("secret_scan", redact_secrets),
     ("best_fit_packing", pack),
 ]
