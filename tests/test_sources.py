@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from setlake.functions.predicates import Identity
+from setlake.paths import DataPaths
+from setlake.schemas import WEBSITE_COLUMNS
+from setlake.sources import files as S
+from setlake.sources.pbf import PbfDataSource, PBFReadError, packed, scan_pbf_keys
+from setlake.sources.text import WebsiteSource, WikidataSource
+from tests.support import parquet, pbf, tree, varint
+
+
+def test_parquet_files_contract(tmp_path):
+    with pytest.raises(S.SourceDatasetError, match="missing"):
+        S.parquet_files(tmp_path / "none", "x")
+    with pytest.raises(S.SourceDatasetError, match="no Parquet"):
+        S.parquet_files(tmp_path, "x")
+    folder = tmp_path / "in"
+    for name in ("b", "a"):
+        parquet(folder / f"{name}.parquet", [{"k": 1}])
+    assert [p.name for p in S.parquet_files(folder, "x")] == ["a.parquet", "b.parquet"]
+    outside = parquet(tmp_path / "out.parquet", [{"k": 1}])
+    (folder / "c.parquet").symlink_to(outside)
+    with pytest.raises(S.SourceDatasetError, match="not a regular file"):
+        S.parquet_files(folder, "x")
+    (folder / "c.parquet").unlink()
+    parquet(folder / "_h.parquet", [{"k": 1}])
+    with pytest.raises(S.SourceDatasetError, match="hidden"):
+        S.parquet_files(folder, "x")
+
+
+def test_missing_columns_are_named_in_order(tmp_path):
+    path = parquet(tmp_path / "a.parquet", [{"osm_type": "way", "osm_id": 1, "more": 2}])
+    with pytest.raises(S.SourceDatasetError, match="contact_website_text, contact_website_text_status, website_text, website_text_status"):
+        S.validate_columns([path], WEBSITE_COLUMNS, "website")
+    (tmp_path / "b.parquet").write_bytes(b"no parquet")
+    with pytest.raises(S.SourceDatasetError, match="cannot be read"):
+        S.column_names(tmp_path / "b.parquet")
+
+
+def test_union_of_drifting_schemas(spark, tmp_path):
+    files = [
+        parquet(tmp_path / "a.parquet", [{"osm_id": 1, "t": "x"}], {"osm_id": "int32", "t": "string"}),
+        parquet(tmp_path / "b.parquet", [{"osm_id": "2", "more": 1}]),
+        parquet(tmp_path / "c.parquet", [{"osm_id": 2.5, "t": "z"}]),
+    ]
+    rows = S.read_union(spark, files, ("osm_id", "t")).collect()
+    assert {tuple(r) for r in rows} == {(1, "x"), (2, None), (2, "z")}
+
+
+def test_inventory(tmp_path):
+    path = parquet(tmp_path / "x" / "a.parquet", [{"k": 1}])
+    (item,) = S.file_inventory(tmp_path, [path], label="l")
+    assert list(item) == ["label", "path", "size_bytes", "mtime_ns"] and item["path"] == "x/a.parquet"
+
+
+def test_other_projects_are_not_read(spark, tmp_path):
+    paths = tree(tmp_path)
+    parquet(paths.wikidata_root / "other" / "documents" / "d.parquet", [{"project": "wikipedia", "document_id": "missing", "fetch_status": "ok", "full_text": "x"}])
+    got = WikidataSource.validate(paths.wikidata_root).members(spark).collect()
+    assert {tuple(r) for r in got} == {("relation", 5), ("relation", 6)}
+    assert {tuple(r) for r in WebsiteSource.validate(paths.website_root).members(spark).collect()} == {("way", 2), ("way", 77), ("relation", 6)}
+
+
+def test_packed_varints():
+    numbers = [0, 1, 127, 128, 300, 1 << 40, (1 << 63) - 1]
+    assert packed(b"".join(map(varint, numbers))).tolist() == numbers and packed(b"").tolist() == []
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_pbf_identities_over_split_blobs(spark, tmp_path, compress):
+    ways = [(i, [i, i + 1, i + 2, i + 3, i] if i % 2 else [i, i + 1]) for i in range(1, 200)] + [(500, [7, 8, 7, 9, 10, 7])]
+    relations = [(1, [("name", "x"), ("type", "boundary")]), (2, [("type", "route"), ("type", "multipolygon")]), (3, [("type", "Boundary")]), (4, [("boundary", "type")]), (5, [])]
+    path = tmp_path / "a.osm.pbf"
+    path.write_bytes(pbf(ways, relations, compress, blocks=5))
+    spark.dataSource.register(PbfDataSource)
+    read = lambda **o: spark.read.format("osmpbf").options(**o).option("split_blobs", 2).load(str(path))
+    keys = {("way", i) for i in range(1, 200, 2)} | {("relation", 1), ("relation", 2)}
+    assert {(r.osm_type, r.osm_id) for r in read().collect()} == keys
+    assert {(r.osm_type, r.osm_id) for r in read(ring_rule="distinct3").collect()} == keys | {("way", 500)}
+    elements = {(r.osm_type, r.osm_id): (r.refs, [tuple(t) for t in r.tags]) for r in read(mode="elements").collect()}
+    assert elements["way", 3] == ([3, 4, 5, 6, 3], []) and elements["relation", 2][1] == relations[1][1] and len(elements) == 205
+    found = []
+    scan_pbf_keys(path, found.append)
+    assert {i.key for i in found} == keys and all(isinstance(i, Identity) for i in found)
+
+
+@pytest.mark.parametrize("data", [b"\x00\x00\xff\xff damaged", pbf([(1, [1, 2, 3, 1])])[:-5], pbf(features=("Unknown",))])
+def test_damaged_pbf(tmp_path, data):
+    path = tmp_path / "a.osm.pbf"
+    path.write_bytes(data)
+    with pytest.raises(PBFReadError):
+        scan_pbf_keys(path, lambda _: None)
+    with pytest.raises(PBFReadError):
+        scan_pbf_keys(tmp_path / "none.osm.pbf", lambda _: None)
+
+
+def test_pbf_ids_that_are_not_positive_are_dropped(tmp_path):
+    path = tmp_path / "a.osm.pbf"
+    path.write_bytes(pbf([(-1, [1, 2, 3, 1]), (0, [1, 2, 3, 1]), (2, [1, 2, 3, 1])], [(-5, [("type", "boundary")])]))
+    found = []
+    scan_pbf_keys(path, found.append)
+    assert [i.key for i in found] == [("way", 2)]
+
+
+def test_paths(tmp_path):
+    for name in ("raw", "wiki", "web"):
+        (tmp_path / name).mkdir()
+    make = lambda **o: DataPaths.from_values(**{"data_root": tmp_path / "out", "raw_pbf_root": tmp_path / "raw", "wikidata_root": tmp_path / "wiki", "website_root": tmp_path / "web"} | o)
+    paths = make(volume_root=tmp_path)
+    assert paths.source_paths == tuple(tmp_path / x for x in ("raw", "wiki", "web"))
+    assert paths.run_root("r1") == tmp_path / "out" / "runs" / "r1"
+    for bad in ("", ".", "..", "a/b", "/abs"):
+        with pytest.raises(ValueError, match="unsafe"):
+            paths.run_root(bad)
+    for bad in ({"volume_root": tmp_path / "raw"}, {"raw_pbf_root": tmp_path / "none"}, {"data_root": tmp_path / "raw" / "x"}, {"data_root": tmp_path}):
+        with pytest.raises(ValueError):
+            make(**bad)
+    (tmp_path / "out" / "runs").mkdir(parents=True)
+    (tmp_path / "out" / "runs" / "link").symlink_to(tmp_path / "raw")
+    with pytest.raises(ValueError, match="escapes"):
+        paths.run_root("link")
+
+
+def test_pbf_options(tmp_path):
+    from setlake.sources.pbf import PbfReader
+
+    for bad in ({"mode": "x"}, {"ring_rule": "x"}, {"split_blobs": "0"}):
+        with pytest.raises(ValueError):
+            PbfReader({"path": "x"} | bad)
+    assert PbfReader({"paths": json.dumps(["a", "b"])}).paths == ["a", "b"]
