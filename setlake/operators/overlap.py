@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from setlake.functions import predicates as P
@@ -42,16 +42,15 @@ def counts(rows: DataFrame, labels: tuple[str, ...] = P.CATEGORIES) -> DataFrame
     known = spark.createDataFrame([(i, c) for i, c in enumerate(labels)], "position int, overlap_category string")
     bad = F.raise_error(F.concat(F.lit("unknown overlap category: "), F.coalesce("overlap_category", F.lit("null")))).cast("string")
     checked = rows.select(F.when(F.col("overlap_category").isin(*labels), F.col("overlap_category")).otherwise(bad).alias("overlap_category"))
-    counted = checked.groupBy("overlap_category").agg(F.count(F.lit(1)).alias("count"))
-    return F.broadcast(known).join(counted, "overlap_category", "left").select("position", "overlap_category", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+    counted = checked.groupBy("overlap_category").agg(F.count(F.lit(1)).alias("count"))  # at most len(labels) rows
+    return known.join(F.broadcast(counted), "overlap_category", "left").select("position", "overlap_category", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
 def summary(rows: DataFrame, labels: tuple[str, ...] = P.CATEGORIES) -> DataFrame:
     """One row per category in the order of ``labels``: count and percentage (count / total * 100, 0 for an empty universe)."""
-    counted = counts(rows, labels)
-    total = counted.agg(F.sum("count").alias("total"))  # one row of at most len(labels)
+    counted = counts(rows, labels).withColumn("total", F.sum("count").over(Window.partitionBy(F.lit(0))))  # over len(labels) rows
     share = F.when(F.col("total") > 0, F.col("count") / F.col("total") * F.lit(100.0)).otherwise(F.lit(0.0))
-    return counted.join(F.broadcast(total)).orderBy("position").select("overlap_category", "count", share.cast("double").alias("percentage"))
+    return counted.orderBy("position").select("overlap_category", "count", share.cast("double").alias("percentage"))
 
 
 def occurrence_counts(rows: DataFrame, by: str = "osm_type", key: tuple[str, ...] = KEY) -> DataFrame:

@@ -25,6 +25,8 @@ def arrow(schema: T.StructType) -> pa.Schema:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` cast to ``schema`` with nullable columns, in its order."""
+    """``df`` cast to ``schema`` with nullable columns, in its order; its partitions keep their numbers."""
     cast = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    return df.sparkSession.createDataFrame([], schema).unionByName(cast) if any(not f.nullable for f in cast.schema) else cast
+    if all(f.nullable for f in cast.schema):
+        return cast
+    return cast.unionByName(df.sparkSession.createDataFrame([], schema))  # a union is nullable if one side is
