@@ -93,6 +93,7 @@ def _spanning(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
 def _links(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within the buckets of rows sorted by bucket."""
+    fp = fp.view(np.uint64)  # numpy counts the bits of a signed number's absolute value
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
     sizes = np.diff(edges)
     large = sizes > _PAIRWISE
