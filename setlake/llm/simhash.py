@@ -139,7 +139,7 @@ def _variant_links(rows: DataFrame, radius: int) -> DataFrame:
     flips = [(0, 0), *((n, sum(1 << i for i in c)) for n in range(1, far + 1) for c in combinations(range(64), n))]
     shifts = F.lit([_signed(m) for _, m in flips])
     steps = F.lit([n for n, _ in flips])
-    each = rows.select("node", "fp", F.posexplode(shifts).alias("i", "m")).select("node", F.col("fp").bitwiseXOR("m").alias("z"), F.element_at(steps, F.col("i") + 1).alias("n"))
+    each = rows.select("node", "fp", F.posexplode(shifts).alias("i", "m")).select("node", F.col("fp").bitwiseXOR(F.col("m")).alias("z"), F.element_at(steps, F.col("i") + 1).alias("n"))
     hubs = each.filter(F.col("n") <= radius // 2).groupBy("z").agg(F.min("node").alias("hub"))
     return each.join(hubs, "z").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
 
