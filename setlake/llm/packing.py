@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from setlake.llm.common import arrow_rows, materialise
 from setlake.llm.tokens import encoder
 
-#: Rows of a block, within which ranks are counted.
-BLOCK_ROWS = 1 << 16
+#: Ranks are counted within blocks of 2**BLOCK_BITS row numbers.
+BLOCK_BITS = 16
 Plan = list[tuple[tuple[int, ...], int]]
 
 
@@ -139,7 +139,7 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, i
 
 def place(cutting: DataFrame, capacity: int) -> DataFrame:
     """Gives rows with ``length`` and a unique long ``_row`` their sequence_id and offset."""
-    blocked = cutting.withColumn("_block", F.shiftrightunsigned("_row", 16))
+    blocked = cutting.withColumn("_block", F.shiftrightunsigned("_row", BLOCK_BITS))
     counts = blocked.groupBy("length", "_block").agg(F.count(F.lit(1)).alias("_n"))
     counts = materialise(counts, "counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most `capacity` rows
