@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _own_dir: list[str] = []
+_worker_caches: list = []
+_last_work: list[object] = []
+
+
+def worker_cache(make: Callable) -> Callable:
+    """``functools.cache`` for what a Python worker keeps from task to task; emptied when the worker turns to other work."""
+    cached = cache(make)
+    _worker_caches.append(cached)
+    return cached
+
+
+def begin_work(name: object) -> None:
+    """Called at the start of a task: if the worker did something else before, what it kept for that goes."""
+    if _last_work != [name]:
+        _last_work[:] = [name]
+        for cached in _worker_caches:
+            cached.cache_clear()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -81,23 +99,23 @@ def with_key(df: DataFrame, id_col: str, text_col: str, name: str = "keyed") ->
     return materialise(ranged.withColumn("_key", F.monotonically_increasing_id()), name), False
 
 
-def arrow_rows(df: DataFrame, fn: Callable[..., dict], schema: str, rows: int = 256, start: Callable[[], object] | None = None) -> DataFrame:
+def arrow_rows(df: DataFrame, fn: Callable[..., dict], schema: str, rows: int = 256) -> DataFrame:
     """``mapInArrow`` over slices of at most ``rows`` rows.
 
-    ``fn`` gets the columns of ``df`` as Python lists (after the state that ``start`` makes once a task,
-    if given) and returns a dict of equally long output columns. Slices bound what a task holds.
+    ``fn`` gets the columns of ``df`` as Python lists and returns a dict of equally long output columns.
+    Slices bound what a task holds.
     """
     struct = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(struct)
+    arrow, name = to_arrow_schema(struct), f"{fn.__module__}.{fn.__qualname__}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = [start()] if start else []
+        begin_work(name)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                out = fn(*state, *(c.to_pylist() for c in part.columns))
+                out = fn(*(c.to_pylist() for c in part.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, struct)

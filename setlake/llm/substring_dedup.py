@@ -36,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlake.llm.common import arrow_rows, drop_scratch, materialise, release_shuffles, scratch, with_key
+from setlake.llm.common import arrow_rows, begin_work, drop_scratch, materialise, release_shuffles, scratch, with_key
 
 WINDOW, GRAM = 20, 8
 #: Runs that the index keeps before it compacts them.
 FAN = 4
 #: Words hashed at once in a long text, and anchor rows that a task combines at once.
-_SLICE, _COMBINE = 1 << 16, 1 << 20
+_SLICE, _COMBINE = 1 << 16, 1 << 18
 #: Upper bound of a Bloom filter, in bits.
 MAX_BITS = 1 << 28
 _U = np.uint64
@@ -82,36 +82,61 @@ _FIRST, _SECOND = _Rolling(42), _Rolling(4242)
 
 
 class Segments:
-    """Anchored segments of a slice of words: arrays gram, segment, lo, n, and the windows' two hashes on demand."""
+    """Anchored segments of several documents: arrays gram, segment, key, lo, n, and the windows' hashes on demand.
 
-    def __init__(self, words: list[bytes], base: int) -> None:
+    ``parts`` are (key, words, number of the first of these words). The words lie behind each other in one
+    array, so that small documents share the cost of a call; windows across their borders don't count.
+    """
+
+    def __init__(self, parts: list[tuple[int, list[bytes], int]]) -> None:
+        words = [w for _, part, _ in parts for w in part]
+        sizes = np.array([len(part) for _, part, _ in parts], np.int64)
+        document = np.repeat(np.arange(len(parts)), sizes)
         self._data = np.frombuffer(b" ".join(words), np.uint8)
         self._stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
         self._starts = np.concatenate([[0], self._stops[:-1] + 1])
-        self._base = base
-        part = _FIRST.stretches(self._data)
-        grams = part(self._starts[: len(words) - GRAM + 1], self._stops[GRAM - 1 :])
-        pick = np.lib.stride_tricks.sliding_window_view(grams, WINDOW - GRAM + 1).argmin(axis=1)
-        anchor = np.arange(len(pick)) + pick
-        cut = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1], [True]]))
-        lo, n = cut[:-1], np.diff(cut)
-        self.gram = grams[anchor[lo]].view(np.int64)
-        shape = ((n << 8) + (anchor[lo] - lo)).astype(_U)
-        self.segment = _mix(part(self._starts[lo], self._stops[lo + n + WINDOW - 2]) ^ _mix(shape)).view(np.int64)
-        self.lo, self.n = lo + base, n
-
-    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and hashes of every window of the segments ``which``."""
+        self._hashes = _FIRST.stretches(self._data)
+        grams = self._hashes(self._starts[: len(words) - GRAM + 1], self._stops[GRAM - 1 :])
+        least, at = grams[: len(words) - WINDOW + 1].copy(), np.zeros(len(words) - WINDOW + 1, np.int64)
+        for k in range(1, WINDOW - GRAM + 1):
+            other = grams[k : k + len(least)]
+            np.copyto(at, k, where=other < least)  # the leftmost of equal grams stays
+            np.minimum(least, other, out=least)
+        whole = np.flatnonzero(document[: len(least)] == document[WINDOW - 1 :])
+        anchor = whole + at[whole]
+        cut = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (np.diff(whole) > 1), [True]])) if len(whole) else np.zeros(1, np.int64)
+        self._lo, self.n = whole[cut[:-1]], np.diff(cut)
+        first = anchor[cut[:-1]]
+        self.gram = grams[first].view(np.int64)
+        shape = ((self.n << 8) + (first - self._lo)).astype(_U)
+        self.segment = _mix(self._hashes(self._starts[self._lo], self._stops[self._lo + self.n + WINDOW - 2]) ^ _mix(shape)).view(np.int64)
+        self.key = np.array([key for key, _, _ in parts], np.int64)[document[self._lo]]
+        self._shift = (np.array([base for _, _, base in parts], np.int64) - np.cumsum(sizes) + sizes)[document[self._lo]]
+        self.lo = self._lo + self._shift
+
+    def windows(self, which: np.ndarray) -> np.ndarray:
+        """Rows (hash, second hash, key, start) of every window of the segments ``which``."""
         n = self.n[which]
-        start = np.repeat(self.lo[which] - self._base - np.cumsum(n) + n, n) + np.arange(n.sum())
+        start = np.repeat(self._lo[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
         ends = self._starts[start], self._stops[start + WINDOW - 1]
-        return start + self._base, _FIRST.stretches(self._data)(*ends).view(np.int64), _SECOND.stretches(self._data)(*ends).view(np.int64)
-
-
-def segments(text: bytes | None) -> Iterator[Segments]:
-    words = (text or b"").split()
-    for at in range(0, len(words) - WINDOW + 1, _SLICE):
-        yield Segments(words[at : at + _SLICE + WINDOW - 1], at)
+        second = _SECOND.stretches(self._data)(*ends)
+        return np.stack([self._hashes(*ends).view(np.int64), second.view(np.int64), np.repeat(self.key[which], n), start + np.repeat(self._shift[which], n)])
+
+
+def segments(keys: list[int], texts: pa.Array) -> Iterator[Segments]:
+    """Segments of the windows of ``texts``, about ``_SLICE`` words at once."""
+    held, size = [], 0
+    for key, text in zip(keys, texts, strict=True):
+        words = (text.as_py() or b"").split()
+        for at in range(0, len(words) - WINDOW + 1, _SLICE):
+            part = words[at : at + _SLICE + WINDOW - 1]
+            held.append((key, part, at))
+            size += len(part)
+            if size >= _SLICE:
+                yield Segments(held)
+                held, size = [], 0
+    if held:
+        yield Segments(held)
 
 
 def _combined(rows: np.ndarray) -> np.ndarray:
@@ -130,6 +155,7 @@ def _grams(docs: DataFrame) -> DataFrame:
     names = ["gram", "segment", "key", "lo", "state"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_work(__name__)
         held, size = [], 0
 
         def out() -> pa.RecordBatch:
@@ -137,10 +163,9 @@ def _grams(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=names)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for s in segments(text.as_py()):
-                    held.append(np.stack([s.gram, s.segment, np.full(len(s.lo), key), s.lo, np.zeros(len(s.lo), np.int64)]))
-                    size += len(s.lo)
+            for s in segments(batch.column(0).to_pylist(), batch.column(1)):
+                held.append(np.stack([s.gram, s.segment, s.key, s.lo, np.zeros(len(s.lo), np.int64)]))
+                size += len(s.lo)
                 if size >= _COMBINE:
                     yield out()
                     held, size = [], 0
@@ -166,7 +191,7 @@ def _bloom(keys: DataFrame) -> np.ndarray:
         k = F.col(keys.columns[0])
         spots = keys.select(F.explode(F.array(F.pmod(k, F.lit(bits)), F.pmod(F.shiftright(k, 30), F.lit(bits)))).alias("i"))
         blocks = spots.groupBy(F.floor(F.col("i") / (1 << 15)).alias("b")).agg(F.bitmap_construct_agg(F.col("i") % (1 << 15)).alias("m"))
-        for r in blocks.toLocalIterator():  # at most MAX_BITS / 2**15 blocks of 4 KB
+        for r in blocks.collect():  # at most MAX_BITS / 2**15 blocks of 4 KB, 32 MB
             filled[r["b"] * 4096 : (r["b"] + 1) * 4096] = np.frombuffer(r["m"], np.uint8)
     return filled
 
@@ -177,30 +202,29 @@ def _maybe(filled: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((filled[one >> 3] >> (one & 7).astype(np.uint8)) & (filled[two >> 3] >> (two & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-def _scan(docs: DataFrame, whole: np.ndarray | None, differ: np.ndarray) -> DataFrame:
+def _scan(docs: DataFrame, whole: np.ndarray | None, differ: np.ndarray, keys: np.ndarray | None = None) -> DataFrame:
     """``docs`` (key, text as bytes) to rows h, h2, key, lo, n of the grams that the filters name.
 
     For a segment: gram, segment, first window, number of windows. For a window of a gram in ``differ``: its two hashes,
-    its start, 0.
+    its start, 0. ``keys`` restricts the documents.
     """
-    names, shared = ["h", "h2", "key", "lo", "n"], docs.sparkSession.sparkContext.broadcast((whole, differ))
+    names, shared = ["h", "h2", "key", "lo", "n"], docs.sparkSession.sparkContext.broadcast((whole, differ, keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole, differ = shared.value
+        begin_work(__name__)
+        whole, differ, keys = shared.value
         for batch in batches:
-            held = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for s in segments(text.as_py()):
-                    if whole is not None and len(at := np.flatnonzero(_maybe(whole, s.gram))):
-                        held.append(np.stack([s.gram[at], s.segment[at], np.full(len(at), key), s.lo[at], s.n[at]]))
-                    if len(at := np.flatnonzero(_maybe(differ, s.gram))):
-                        start, h, h2 = s.windows(at)
-                        held.append(np.stack([h, h2, np.full(len(h), key), start, np.zeros(len(h), np.int64)]))
-                if sum(x.shape[1] for x in held) > 1 << 18:
+            if keys is not None:
+                batch = batch.filter(pa.array(_maybe(keys, batch.column(0).to_numpy())))
+            for s in segments(batch.column(0).to_pylist(), batch.column(1)):
+                held = []
+                if whole is not None and len(at := np.flatnonzero(_maybe(whole, s.gram))):
+                    held.append(np.stack([s.gram[at], s.segment[at], s.key[at], s.lo[at], s.n[at]]))
+                if len(at := np.flatnonzero(_maybe(differ, s.gram))):
+                    found = s.windows(at)
+                    held.append(np.concatenate([found, np.zeros((1, found.shape[1]), np.int64)]))
+                if held:
                     yield pa.RecordBatch.from_arrays([pa.array(r) for r in np.concatenate(held, axis=1)], names=names)
-                    held = []
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(r) for r in np.concatenate(held, axis=1)], names=names)
 
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
@@ -213,6 +237,7 @@ class FingerprintIndex:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[DataFrame] = []
         self.window_runs: list[DataFrame] = []
+        self._names: dict[int, str] = {}
 
     def _write_run(self, rows: DataFrame) -> DataFrame:
         """One row per gram, a file a bucket, sorted: later joins on gram need no exchange."""
@@ -220,7 +245,9 @@ class FingerprintIndex:
         name = "run_" + path.rsplit("-", 1)[1]
         merged = _merged(rows.repartition(self.buckets, "gram")).sortWithinPartitions("gram")
         merged.write.bucketBy(self.buckets, "gram").sortBy("gram").option("path", path).saveAsTable(name)
-        return self.spark.table(name)
+        run = self.spark.table(name)
+        self._names[id(run)] = name
+        return run
 
     def compact(self) -> None:
         """Merge all runs into one."""
@@ -229,8 +256,19 @@ class FingerprintIndex:
         for run in old[1:]:
             union = union.unionByName(run)
         self.runs = [self._write_run(union)]
-        for run in old:
+        self._drop(old)
+
+    def _drop(self, runs: list[DataFrame]) -> None:
+        for run in runs:
+            name = self._names.pop(id(run))
             drop_scratch(self.spark, run)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def close(self) -> None:
+        """Delete all runs."""
+        self._drop(self.runs)
+        drop_scratch(self.spark, *self.window_runs)
+        self.runs, self.window_runs = [], []
 
     def add(self, docs: DataFrame, earlier: DataFrame | None) -> DataFrame:
         """Index a batch (``_key``, ``_text`` as bytes) and return what to remove of it: rows key, lo, n (n windows from word lo on).
@@ -264,7 +302,9 @@ class FingerprintIndex:
         windows = found.filter("n = 0").select("h", "h2", "key", "lo")
         extra = None
         if earlier is not None and facts.filter("new").limit(1).count():
-            extra = _scan(earlier, None, _bloom(facts.filter("new").select("gram"))).select("h", "h2", "key", "lo")
+            # all earlier segments of such a gram are alike, so the document of the first one has all its windows
+            new = facts.filter("new")
+            extra = _scan(earlier, None, _bloom(new.select("gram")), _bloom(new.select("fkey").distinct())).select("h", "h2", "key", "lo")
         starts = (windows.unionByName(extra) if extra is not None else windows).groupBy("h", "h2").agg(F.min(F.struct("key", "lo")).alias("f"))
         for old in self.window_runs:
             before = old.select("h", "h2", F.col("f").alias("o"))
@@ -320,9 +360,10 @@ def _with_removals(df: DataFrame, batches: int, id_col: str, text_col: str) -> I
         gone = index.add(as_bytes(part), None if low is None else as_bytes(keyed.filter(key <= low)))
         packed = gone.groupBy("key").agg(F.collect_list(F.shiftleft("lo", 24) + F.col("n")).alias("_gone")).withColumnRenamed("key", "_key")
         yield part.join(packed, "_key", "left")
+    index.close()
 
 
-def repeated_words(df: DataFrame, batches: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_words(df: DataFrame, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, n_words, n_removed, kept_sha256."""
 
     def rows(ids: list, texts: list, gone: list) -> dict:
@@ -338,7 +379,7 @@ def repeated_words(df: DataFrame, batches: int = 3, id_col: str = "doc_id", text
     return out
 
 
-def drop_repeats(df: DataFrame, batches: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(df: DataFrame, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with repeated passages taken out of its texts (kept words joined by one space); unrepeated texts stay as they are."""
     @F.pandas_udf("string")
     def clean(texts: pd.Series, gone: pd.Series) -> pd.Series:
