@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlake.llm.common import scratch
+from setlake.llm.common import begin_work, scratch
 from setlake.llm.tokens import encoder, vocabulary_size
 
 #: Sequences in a record batch.
@@ -106,12 +106,13 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, length: int = 2048,
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_work(__name__)
         context, writer = TaskContext.get(), None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 docs, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
                 writer = writer or _Writer(folder, context.partitionId(), context.taskAttemptId(), length, dtype)
-                writer.add(docs, [t + end for t in encoder(tokenizer).encode_batch(texts)])
+                writer.add(docs, [t + end for t in encoder(tokenizer)(texts)])
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [context.partitionId()], "n_docs": [writer.docs], "n_tokens": [writer.tokens]})

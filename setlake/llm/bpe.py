@@ -21,15 +21,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from setlake.llm.common import arrow_rows
-from setlake.llm.tokens import CACHE_CHARS, CACHE_ENTRIES, ChunkEncoder, Recent
+from setlake.llm.common import arrow_rows, worker_cache
+from setlake.llm.tokens import WordIds
 
 #: Bytes from which a word counts as long, words' bytes in one query, steps before rows are renewed, ids decoded in one group.
 LONG, QUERY_BYTES, STEPS, DECODE_IDS = 256, 1 << 17, 64, 1 << 16
@@ -82,7 +81,7 @@ class BytePairs:
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS FROM given")
             self.db.unregister("given")
-        self.words = Recent(CACHE_ENTRIES)
+        self.words = WordIds(self._learn)
 
     def _contract(self, words: list[bytes], long: bool) -> list[bytes]:
         """The ids of each word. Positions count through all words, so that their order is that of the rows."""
@@ -102,39 +101,26 @@ class BytePairs:
         self.db.unregister(name)
         return out
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found, pending, held = {}, [], 0
-
-        def flush() -> None:
-            for long in (False, True):
-                part = [w for w in pending if (len(w[1]) > LONG) == long]
-                if part:
-                    found.update(zip((w[0] for w in part), self._contract([w[1] for w in part], long), strict=True))
-            pending.clear()
-
-        for word in words:
-            data = word.encode()
-            if data in self.ranks:
-                found[word] = self.ranks[data].to_bytes(4, "little")
-                continue
-            pending.append((word, data))
-            held += len(data)
-            if held >= QUERY_BYTES:
-                flush()
-                held = 0
-        flush()
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self.pattern.findall(t) for t in texts]
-        found = self._learn(self.words.missing(set().union(*split)))
-        self.words.now.update(found)
-        out = [b"".join(map(self.words.now.__getitem__, words)) for words in split]
-        for w in found:
-            if len(w) > CACHE_CHARS:
-                del self.words.now[w]
-        return out
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of words that aren't known yet, a bounded number of bytes in a query."""
+        found: dict[bytes, bytes] = {}
+        texts = [w.encode() for w in words]
+        for long in (False, True):
+            pending, held = [], 0
+            for data in texts:
+                if data not in self.ranks and (len(data) > LONG) == long:
+                    pending.append(data)
+                    held += len(data)
+                if held >= QUERY_BYTES:
+                    found.update(zip(pending, self._contract(pending, long), strict=True))
+                    pending, held = [], 0
+            if pending:
+                found.update(zip(pending, self._contract(pending, long), strict=True))
+        return [self.ranks[d].to_bytes(4, "little") if d in self.ranks else found[d] for d in texts]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text (null: empty) as little-endian unsigned 32-bit integers."""
+        return self.words.join([self.pattern.findall(t or "") for t in texts])
 
     def decode(self, documents: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
@@ -150,18 +136,17 @@ class BytePairs:
         return [b"".join(x) for x in out]
 
 
-@cache
-def byte_pairs(path: str, pattern: str) -> tuple[BytePairs, ChunkEncoder]:
+@worker_cache
+def byte_pairs(path: str, pattern: str) -> BytePairs:
     """One a worker process."""
-    pairs = BytePairs(path, pattern)
-    return pairs, ChunkEncoder(lambda texts: pairs.encode(texts) if texts else [])
+    return BytePairs(path, pattern)
 
 
 def encode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id and ids (array of int)."""
 
     def rows(keys: list, texts: list) -> dict:
-        return {"doc_id": keys, "ids": [np.frombuffer(x, "<i4") for x in byte_pairs(ranks, pattern)[1].encode_batch(texts)]}
+        return {"doc_id": keys, "ids": [np.frombuffer(x, "<i4") for x in byte_pairs(ranks, pattern).encode(texts)]}
 
     return arrow_rows(df.select(id_col, text_col), rows, f"doc_id {dict(df.dtypes)[id_col]}, ids array<int>")
 
@@ -170,7 +155,7 @@ def decode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", ids_
     """One row per row of ``df``: doc_id and the bytes that its ids stand for."""
 
     def rows(keys: list, ids: list) -> dict:
-        return {"doc_id": keys, "data": byte_pairs(ranks, pattern)[0].decode([np.array(x or [], np.int64) for x in ids])}
+        return {"doc_id": keys, "data": byte_pairs(ranks, pattern).decode([np.array(x or [], np.int64) for x in ids])}
 
     return arrow_rows(df.select(id_col, ids_col), rows, f"doc_id {dict(df.dtypes)[id_col]}, data binary")
 
@@ -179,8 +164,8 @@ def round_trip(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
     """Encode and decode in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256."""
 
     def rows(keys: list, texts: list) -> dict:
-        pairs, encoder = byte_pairs(ranks, pattern)
-        ids = [np.frombuffer(x, "<u4") for x in encoder.encode_batch(texts)]
+        pairs = byte_pairs(ranks, pattern)
+        ids = [np.frombuffer(x, "<u4") for x in pairs.encode(texts)]
         return {
             "doc_id": keys,
             "n_tokens": [len(x) for x in ids],

@@ -120,7 +120,7 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
 
     def rows(ids: list, texts: list) -> dict:
         out: dict = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        for doc, tokens in zip(ids, encoder(tokenizer).encode_batch(texts), strict=True):
+        for doc, tokens in zip(ids, encoder(tokenizer)(texts), strict=True):
             tokens += end
             for k, (start, length) in enumerate(cut(len(tokens) // 4, capacity)):
                 for name, value in zip(out, (doc, k, start, length, zlib.crc32(tokens[4 * start : 4 * (start + length)])), strict=True):

@@ -1,93 +1,55 @@
-"""Whole-text encoding by a byte-level BPE file of the ``tokenizers`` library, cached by chunk and by word.
-
-The pre-tokenizer always cuts in front of a single space between two other characters, so a text
-falls into independent chunks there. Each distinct chunk is cut into words by the pre-tokenizer's
-pattern, each distinct word is encoded by the library's model, and both are looked up afterwards.
-Where a chunk begins or ends in white space (or is empty) the cut is not certain, and the whole text
-goes through the library at once, as do chunks with characters whose class may differ between
-versions of Unicode. All ways give the library's own ids.
+"""Whole-text encoding by a byte-level BPE file of the ``tokenizers`` library, cached by word.
+
+Such a file cuts texts into words by a fixed pattern before anything else, so each distinct word is
+encoded by the library's model once and looked up afterwards. Texts with characters whose class may
+differ between versions of Unicode, and files that cut differently, go through the library as a
+whole. All ways give the library's own ids.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterable
-from functools import cache
+import sys
+from array import array
+from collections.abc import Callable
 
-import numpy as np
 import regex
 
-#: Entries that a worker keeps, of chunks and of words. Longer ones are not kept.
-CACHE_ENTRIES, CACHE_CHARS = 800_000, 48
-#: Characters that some libraries count as white space and others don't.
-_DOUBTFUL = frozenset("\x1c\x1d\x1e\x1f\x85\u180e\u200b\u2060\ufeff")
-#: The public byte-level pattern (fixed value), and what it is trusted on: Latin text without control characters that are disputed.
+from setlake.llm.common import worker_cache
+
+#: Words that a worker keeps; longer ones are not kept.
+CACHE_ENTRIES, CACHE_CHARS = 600_000, 48
+#: The public byte-level pattern (fixed value), and the texts it is trusted on: Latin ones without disputed control characters.
 _PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 _PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\u024f]*")
 
 
-class Recent:
-    """A dictionary of what was used lately: two generations of at most half of ``size`` entries."""
-
-    def __init__(self, size: int) -> None:
-        self.now: dict = {}
-        self._before: dict = {}
-        self._half = size // 2
-
-    def missing(self, keys: Iterable) -> list:
-        """The keys that are not known; the others are in ``now`` afterwards."""
-        if len(self.now) > self._half:
-            self._before, self.now = self.now, {}
-        now, before, out = self.now, self._before, []
-        for k in keys:
-            if k not in now:
-                if k in before:
-                    now[k] = before[k]
-                else:
-                    out.append(k)
-        return out
-
-
-def _certain(chunk: str) -> bool:
-    return bool(chunk) and not (chunk[0].isspace() or chunk[-1].isspace() or chunk[0] in _DOUBTFUL or chunk[-1] in _DOUBTFUL)
-
-
-class ChunkEncoder:
-    """Texts to little-endian unsigned 32-bit ids."""
-
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[list[str]], list[bytes]] | None = None) -> None:
-        self._encode, self._whole = encode, whole or encode
-        self._recent = Recent(CACHE_ENTRIES)
-
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, without special tokens; null counts as empty."""
-        split = [(t or "").split(" ") for t in texts]
-        new = self._recent.missing(set().union(*(s[1:] for s in split)))
-        known, extra = self._recent.now, {}
-        for chunk in new:
-            if not _certain(chunk):
-                known[chunk] = None
-        new = [c for c in new if c not in known]
-        for chunk, ids in zip(new, self._encode([" " + c for c in new]), strict=True):
-            (known if len(chunk) <= CACHE_CHARS else extra)[chunk] = ids
-        heads = [s[0] for s in split]
-        head_ids = self._encode([h if _certain(h) else "" for h in heads])
-        get = known.__getitem__ if not extra else lambda c: known[c] if c in known else extra[c]
-        out: list[bytes | None] = []
-        for text, parts, head, ids in zip(texts, split, heads, head_ids, strict=True):
-            if len(parts) == 1:
-                out.append(ids if not text or _certain(text) else None)
-            elif head and not _certain(head):
-                out.append(None)
-            else:
-                try:
-                    out.append(ids + b"".join(map(get, parts[1:])))
-                except TypeError:  # a chunk without a certain cut
-                    out.append(None)
-        whole = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
-            out[i] = ids
+class WordIds:
+    """The ids of words, as little-endian unsigned 32-bit integers.
+
+    Keeps what was used lately, in two generations of at most half of ``size`` words and a batch.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], size: int | None = None) -> None:
+        self._encode, self._half = encode, (size or CACHE_ENTRIES) // 2
+        self._now: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def join(self, split: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words behind each other."""
+        if len(self._now) > self._half:
+            self._before, self._now = self._now, {}
+        now = self._now
+        new = set().union(*split).difference(now)
+        for word in self._before.keys() & new:
+            now[word] = self._before[word]
+        new = [w for w in new if w not in now]
+        now.update(zip(new, self._encode(new), strict=True))
+        out = [b"".join(map(now.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > CACHE_CHARS:
+                del now[word]
         return out
 
 
@@ -98,41 +60,37 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-@cache
-def encoder(path: str) -> ChunkEncoder:
-    """The encoder of a ``tokenizers`` JSON file; one a worker process."""
+@worker_cache
+def encoder(path: str) -> Callable[[list[str | None]], list[bytes]]:
+    """A function from texts (null: empty) to ids without special tokens, for a ``tokenizers`` JSON file."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    listed = lambda t, texts: [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+    if sys.byteorder != "little" or array("I").itemsize != 4:
+        raise RuntimeError("ids are written as little-endian 32-bit integers")
+
+    def listed(tok: Tokenizer, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    whole, bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    whole.encode_special_tokens = bare.encode_special_tokens = True  # their strings in a text are ordinary text
+    bare.pre_tokenizer = None
     with open(path, encoding="utf-8") as f:
         given = json.load(f)
     pre = given["pre_tokenizer"] or {}
-    if given["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
-        return ChunkEncoder(lambda texts: listed(tok, texts))
-    bare = Tokenizer.from_file(path)
-    bare.encode_special_tokens = True
-    bare.pre_tokenizer = None
-    letters, words = byte_letters(), Recent(CACHE_ENTRIES)
-
-    def encode(chunks: list[str]) -> list[bytes]:
-        plain = [_PATTERN.findall(c) if _PLAIN.fullmatch(c) else None for c in chunks]
-        odd = iter(listed(tok, [c for c, p in zip(chunks, plain, strict=True) if p is None]))
-        new = words.missing(set().union(*(p for p in plain if p)))
-        found = dict(zip(new, listed(bare, [w.encode().decode("latin-1").translate(letters) for w in new]), strict=True))
-        words.now.update(found)
-        out = [next(odd) if p is None else b"".join(map(words.now.__getitem__, p)) for p in plain]
-        for w in found:
-            if len(w) > CACHE_CHARS:
-                del words.now[w]
-        return out
+    known = not given["normalizer"] and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    letters = byte_letters()
+    words = WordIds(lambda new: listed(bare, [w.encode().decode("latin-1").translate(letters) for w in new]))
+
+    def encode(texts: list[str | None]) -> list[bytes]:
+        plain = [known and (not t or bool(_PLAIN.fullmatch(t))) for t in texts]
+        cut = iter(words.join([_PATTERN.findall(t or "") for t, p in zip(texts, plain, strict=True) if p]))
+        odd = iter(listed(whole, [t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(cut) if p else next(odd) for p in plain]
 
-    return ChunkEncoder(encode, lambda texts: listed(tok, texts))
+    return encode
 
 
-@cache
 def vocabulary_size(path: str) -> int:
     from tokenizers import Tokenizer
 
