@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from setlake.llm.common import arrow_rows
+from setlake.llm.common import arrow_rows, begin_work
 
 #: Length of a profile, and labelled rows that each language may learn from.
 PROFILE, ROWS_PER_LANGUAGE = 400, 20_000
@@ -76,6 +76,7 @@ def learn(df: DataFrame, teach: Column, profile: int = PROFILE, rows_per_languag
     spread = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < share * (1 << 20)
 
     def count(batches):
+        begin_work(__name__)
         total: dict[str, list[pd.Series]] = {}
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -139,6 +140,7 @@ def keep_identified(df: DataFrame, profiles: Profiles, profile: int = PROFILE, m
 
     @F.pandas_udf("boolean")
     def keep(texts: pd.Series) -> pd.Series:
+        begin_work(__name__)
         found = [predict(t) for t in texts]
         return pd.Series([lang != "und" and score >= min_score for lang, score in found], dtype=bool)
 

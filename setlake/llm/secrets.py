@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from setlake.llm.common import arrow_rows
+from setlake.llm.common import arrow_rows, begin_work
 
 BASE_KINDS = ("assign", "access", "hex")
 ADDED_KINDS = ("github", "npm", "jwt", "pem")
@@ -165,6 +165,7 @@ def redact_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with the secrets in its text column replaced by ``[SECRET]``; every row and column stays."""
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
+        begin_work(__name__)
         return pd.Series([redact(t, find_secrets(t)) for t in texts], dtype=object)
 
     return df.withColumn(text_col, clean(F.col(text_col)))
