@@ -83,6 +83,14 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def numbered_columns(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns c0, c1 and so on, and what ``names`` are called there, so that no name of the caller's meets an internal one.
+
+    ``toDF(*df.columns)`` gives the names back.
+    """
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [f"c{df.columns.index(n)}" for n in names]
+
+
 def with_key(df: DataFrame, id_col: str, text_col: str, name: str = "keyed") -> tuple[DataFrame, bool]:
     """``df`` with a unique non-null long ``_key`` that sorts as ``id_col`` does, and whether ``_key`` is ``id_col`` itself.
 
@@ -105,7 +113,7 @@ def arrow_rows(df: DataFrame, fn: Callable[..., dict], schema: str, rows: int =
     ``fn`` gets the columns of ``df`` as Python lists and returns a dict of equally long output columns.
     Slices bound what a task holds.
     """
-    struct = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else df.sparkSession.createDataFrame([], schema).schema
+    struct = T.StructType.fromDDL(schema)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow, name = to_arrow_schema(struct), f"{fn.__module__}.{fn.__qualname__}"

@@ -11,7 +11,7 @@ that its false positives rise, so more rows are grouped exactly; no result chang
 
 Defined cases: a null text counts as empty; a null id sorts below every id; of rows repeated in every
 column exactly one stays; an empty table gives an empty result; extra columns pass through whatever
-their names, as internal names start with an underscore and are checked.
+their names.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setlake.llm.common import materialise
+from setlake.llm.common import materialise, numbered_columns
 
 #: Bits of one filter block, the size of Spark's bitmap aggregates.
 BLOCK = 32768
@@ -96,9 +96,7 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows that the filter clears are never shuffled. Rows equal in id and text are told apart by all
     their columns; of fully repeated rows one stays.
     """
-    clash = [c for c in df.columns if c.lower() in {"digest", "_maybe", "_block", "_bitmap", "_win", "group_size", "_rest", "_keep_id"}]
-    inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))]) if clash else df
-    ident, text = (inner.columns[df.columns.index(c)] for c in (id_col, text_col))
+    inner, (ident, text) = numbered_columns(df, id_col, text_col)
     rows = inner.withColumn("digest", text_digest(F.col(text), normalise)).withColumn("_rest", F.xxhash64(*inner.columns))
     digests = materialise(rows.select(F.col(ident).alias("id"), "digest", "_rest", F.monotonically_increasing_id().alias("_row")), "digests")
     filter_rows, bits, groups = _plan(digests)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setlake.llm.common import drop_scratch, materialise, release_shuffles, with_key
+from setlake.llm.common import drop_scratch, materialise, numbered_columns, release_shuffles, with_key
 
 #: Shortest line, in words, that may be removed for a line that is not the same.
 MIN_WORDS = 5
@@ -126,13 +126,15 @@ def _kept(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, n_lines, n_removed, kept_sha256 (of the lines that stay, joined by line feeds)."""
-    n = F.when(F.coalesce(F.col(text_col), F.lit("")) == "", 0).otherwise(F.size(_lines(F.col(text_col))))
-    return _kept(df, id_col, text_col).select(
-        F.col(id_col).alias("doc_id"), n.cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256")
+    named = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    n = F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(_lines(F.col("text"))))
+    return _kept(named, "doc_id", "text").select(
+        "doc_id", n.cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256")
     )
 
 
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with its texts cut to the lines that stay; texts that lose nothing are untouched, nulls included."""
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
-    return _kept(df, id_col, text_col).withColumn("_text", text).select(*[F.col("_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
+    inner, (ident, text) = numbered_columns(df, id_col, text_col)
+    cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n"))
+    return _kept(inner, ident, text).withColumn(text, cut).select(inner.columns).toDF(*df.columns)

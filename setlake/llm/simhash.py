@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from setlake.llm.common import arrow_rows, materialise, release_shuffles, with_key
+from setlake.llm.common import arrow_rows, begin_work, materialise, numbered_columns, release_shuffles, with_key
 from setlake.llm.components import components
 
 #: Buckets up to this many distinct fingerprints are compared in place; larger ones take the variants' way.
@@ -117,6 +117,7 @@ def _bucket_links(rows: DataFrame, radius: int) -> DataFrame:
     """``rows``: bucket, fp, node. Streams the sorted buckets of a partition, holding one unfinished bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_work(__name__)
         held = None
         for batch in batches:
             now = np.stack([batch.column(i).to_numpy() for i in range(3)])
@@ -158,8 +159,8 @@ def near_links(nodes: DataFrame, radius: int = 3, bucket_rows: int = BUCKET_ROWS
 def near_groups(df: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per row of ``df``: doc_id, fingerprint, component_id (the smallest id reachable), and whether the row is that document."""
     spark = df.sparkSession
-    keyed, same = with_key(df, id_col, text_col)
-    prints = materialise(fingerprints(keyed, shingle, "_key", text_col), "prints")
+    keyed, same = with_key(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
+    prints = materialise(fingerprints(keyed, shingle), "prints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("key").alias("node")), "nodes")
     names = components(near_links(nodes, radius, bucket_rows))
     labelled = nodes.join(names, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
@@ -167,7 +168,7 @@ def near_groups(df: DataFrame, radius: int = 3, shingle: int = 3, id_col: str =
     release_shuffles(spark)
     if same:
         return out.select(F.col("key").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"), (F.col("key") == F.col("component")).alias("kept"))
-    ids = keyed.select(F.col("_key").alias("key"), F.col(id_col).alias("doc_id"))
+    ids = keyed.select(F.col("_key").alias("key"), "doc_id")
     named = materialise(out.join(ids, "key"), "named")
     first = ids.select(F.col("key").alias("component"), F.col("doc_id").alias("component_id"))
     return named.join(first, "component").select("doc_id", "fingerprint", "component_id", (F.col("key") == F.col("component")).alias("kept"))
@@ -175,7 +176,8 @@ def near_groups(df: DataFrame, radius: int = 3, shingle: int = 3, id_col: str =
 
 def drop_near_duplicates(df: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with one document of each group, that of the smallest id; columns as given."""
-    keyed, same = with_key(df, id_col, text_col)
-    groups = near_groups(keyed.withColumn(id_col, F.col("_key")).select(id_col, text_col), radius, shingle, id_col, text_col)
+    inner, (ident, text) = numbered_columns(df, id_col, text_col)
+    keyed, _ = with_key(inner, ident, text)
+    groups = near_groups(keyed.select("_key", text), radius, shingle, "_key", text)
     gone = materialise(groups.filter("NOT kept").select(F.col("doc_id").alias("_key")), "gone")
-    return keyed.join(gone, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    return keyed.join(gone, "_key", "left_anti").select(inner.columns).toDF(*df.columns)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlake.llm.common import arrow_rows, begin_work, drop_scratch, materialise, release_shuffles, scratch, with_key
+from setlake.llm.common import arrow_rows, begin_work, drop_scratch, materialise, numbered_columns, release_shuffles, scratch, with_key
 
 WINDOW, GRAM = 20, 8
 #: Runs that the index keeps before it compacts them.
@@ -340,7 +340,7 @@ def removed_words(n_words: int, lo: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _cleaned(text: bytes | None, gone: list[int] | None) -> tuple[int, int, bytes | None]:
     """Words, removed words, and the kept words joined by spaces."""
     words = (text or b"").split()
-    if not gone:
+    if gone is None or not len(gone):
         return len(words), 0, b" ".join(words)
     packed = np.array(gone, np.int64)
     off = removed_words(len(words), packed >> 24, packed & 0xFFFFFF)
@@ -371,9 +371,9 @@ def repeated_words(df: DataFrame, batches: int = 2, id_col: str = "doc_id", text
         return {"doc_id": ids, "n_words": [d[0] for d in done], "n_removed": [d[1] for d in done], "kept_sha256": [hashlib.sha256(d[2]).hexdigest() for d in done]}
 
     schema = f"doc_id {dict(df.dtypes)[id_col]}, n_words long, n_removed long, kept_sha256 string"
-    out = None
-    for part in _with_removals(df, batches, id_col, text_col):
-        done = materialise(arrow_rows(part.select(id_col, F.col(text_col).cast("binary"), "_gone"), rows, schema), "kept")
+    out, named = None, df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    for part in _with_removals(named, batches, "doc_id", "text"):
+        done = materialise(arrow_rows(part.select("doc_id", F.col("text").cast("binary"), "_gone"), rows, schema), "kept")
         release_shuffles(df.sparkSession)
         out = done if out is None else out.unionByName(done)
     return out
@@ -385,8 +385,9 @@ def drop_repeats(df: DataFrame, batches: int = 2, id_col: str = "doc_id", text_c
     def clean(texts: pd.Series, gone: pd.Series) -> pd.Series:
         return pd.Series([t if g is None else _cleaned(t.encode(), g)[2].decode() for t, g in zip(texts, gone, strict=True)], dtype=object)
 
+    inner, (ident, text) = numbered_columns(df, id_col, text_col)
     out = None
-    for part in _with_removals(df, batches, id_col, text_col):
-        done = part.withColumn(text_col, clean(F.col(text_col), F.col("_gone"))).select(*[F.col(f"`{c}`") for c in df.columns])
+    for part in _with_removals(inner, batches, ident, text):
+        done = part.withColumn(text, clean(F.col(text), F.col("_gone"))).select(inner.columns)
         out = done if out is None else out.unionByName(done)
-    return out
+    return out.toDF(*df.columns)

@@ -78,6 +78,11 @@ def test_components(spark, links):
     assert got == {x: find(x) for x in parent}
 
 
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact_duplicates, simhash.drop_near_duplicates, line_dedup.drop_repeated_lines, substring_dedup.drop_repeats])
+def test_columns_with_internal_names_pass_through(odd, drop):
+    assert {(r.digest, r._key, r.kept, r.bucket, r.group_size) for r in drop(odd).collect()} == {("x", 1, True, 2, 3)}
+
+
 def naive_fingerprint(text, width=3):
     words = (text or "").encode().lower().split()
     if not words:
