@@ -288,6 +288,35 @@ def test_crowded_buckets_still_link(spark, monkeypatch):
     assert {r.class_id for r in got} == {0}
 
 
+def test_crowded_links_equal_brute_force(spark, monkeypatch):
+    """Crops and edits of one picture, and pictures that share a corner, in groups far over a block: every pair counts."""
+    monkeypatch.setattr(media, "BUCKET_ROWS", 4)
+    base, logo, rng = picture(3), picture(5), np.random.default_rng(7)
+    group = [np.clip(base[i : 80 + i, i % 7 : 84 + i % 5] + rng.normal(0, 2, (80, 84 + i % 5 - i % 7)), 0, 255) for i in range(12)]
+    group += [np.where(np.arange(96)[:, None] + np.arange(96) < 110, logo, picture(20 + i)) for i in range(10)] + [picture(40 + i) for i in range(3)]
+    group = [np.ascontiguousarray(np.rint(g).astype(np.uint8)) for g in group]
+    got = {r.image_id: (r.n_links, r.class_id) for r in media.copy_classes(spark.createDataFrame([(i, bytearray(g.tobytes()), g.shape[1]) for i, g in enumerate(group)], "image_id long, pixels binary, width int")).collect()}
+    linked = linked_by_brute_force(group)
+    assert {i: n for i, (n, _) in got.items()} == {i: sum(i in pair for pair in linked) for i in range(len(group))}
+    assert {i: c for i, (_, c) in got.items()} == {i: 0 if i < 12 else 12 if i < 22 else i for i in range(len(group))}
+    assert len(linked) > 80
+
+
+def linked_by_brute_force(images: list[np.ndarray]) -> set[tuple[int, int]]:
+    """Pairs of images by comparing all descriptors that share a band, each with each."""
+    found, out = [media.describe(g.tobytes(), g.shape[1]) for g in images], set()
+    packed = [p @ np.array([1 << 34, 1 << 12, 1 << 10, 1]) for p, _ in found]
+    for a in range(len(images)):
+        for b in range(a + 1, len(images)):
+            va, vb = found[a][1][:, None], found[b][1][None]
+            meet = (np.bitwise_count(va.view(np.uint64) ^ vb.view(np.uint64)).sum(axis=2) <= media.MAX_BITS) & (va.view(np.uint32) == vb.view(np.uint32)).any(axis=2)
+            i, j = np.nonzero(meet)
+            links = np.stack([np.full(len(i), a), np.full(len(i), b), packed[a][i], packed[b][j]], axis=1)
+            if len(i) and media._agreeing(links[:, 2], links[:, 3]):
+                out.add((a, b))
+    return out
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
