@@ -317,6 +317,26 @@ def linked_by_brute_force(images: list[np.ndarray]) -> set[tuple[int, int]]:
     return out
 
 
+def turned(image: np.ndarray, degrees: float) -> np.ndarray:
+    """Turned about its middle with bilinear resampling, on grey."""
+    a, (h, w) = np.deg2rad(degrees), image.shape
+    size = int(np.ceil(np.hypot(h, w)))
+    y, x = np.mgrid[:size, :size] - (size - 1) / 2
+    xs, ys = np.cos(a) * x + np.sin(a) * y + (w - 1) / 2, np.cos(a) * y - np.sin(a) * x + (h - 1) / 2
+    inside = (xs >= 0) & (ys >= 0) & (xs <= w - 1) & (ys <= h - 1)
+    x0, y0 = (np.clip(np.floor(v), 0, n - 2).astype(int) for v, n in ((xs, w), (ys, h)))
+    fx, fy, g = xs - x0, ys - y0, image.astype(float)
+    mixed = g[y0, x0] * (1 - fx) * (1 - fy) + g[y0, x0 + 1] * fx * (1 - fy) + g[y0 + 1, x0] * (1 - fx) * fy + g[y0 + 1, x0 + 1] * fx * fy
+    return np.rint(np.where(inside, mixed, 128)).astype(np.uint8)
+
+
+def test_turned_copies(spark):
+    degrees = [7, 15, 30, 45, 60, 90, 120, 180, 270, 333]
+    images = [picture(i) for i in range(4)] + [turned(picture(i % 4), d) for i, d in enumerate(degrees)] + [turned(media._scaled(picture(1), 0.75), 40), turned(picture(2)[8:80, 12:90], 25)]
+    got = {r.image_id: r.class_id for r in media.copy_classes(spark.createDataFrame([(i, bytearray(v.tobytes()), v.shape[1]) for i, v in enumerate(images)], "image_id long, pixels binary, width int")).collect()}
+    assert got == dict(enumerate([0, 1, 2, 3, *[i % 4 for i in range(len(degrees))], 1, 2]))
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
