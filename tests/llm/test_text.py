@@ -317,6 +317,19 @@ def linked_by_brute_force(images: list[np.ndarray]) -> set[tuple[int, int]]:
     return out
 
 
+def test_bands_find_every_match_within_seven_bits(spark):
+    """Descriptors at each distance from one of their own: all within 7 bits meet, and none over MAX_BITS."""
+    rng, rows = np.random.default_rng(2), []
+    for k in range(60):
+        word = rng.integers(-(2**63), 2**63 - 1, 4)
+        flips = np.zeros(256, np.uint8)
+        flips[rng.choice(256, k % 30, replace=False)] = 1
+        for image, w in ((2 * k, word), (2 * k + 1, word ^ np.packbits(flips).view(np.int64))):
+            rows.append((image, 1, 2, 0, 3, *(int(x) for x in w)))
+    got = {(r.a, r.b) for r in media.matches(spark.createDataFrame(rows, "image long, x long, y long, level long, turn long, w0 long, w1 long, w2 long, w3 long")).collect()}
+    assert {(2 * k, 2 * k + 1) for k in range(60) if k % 30 <= 7} <= got <= {(2 * k, 2 * k + 1) for k in range(60) if k % 30 <= media.MAX_BITS}
+
+
 def turned(image: np.ndarray, degrees: float) -> np.ndarray:
     """Turned about its middle with bilinear resampling, on grey."""
     a, (h, w) = np.deg2rad(degrees), image.shape
