@@ -6,21 +6,26 @@ contracts each word's leftmost pair of smallest rank, until no word has a pair l
 aggregation then gives each word's ids. Decoding joins the ids to the vocabulary and aggregates the
 bytes in order. The merge table holds every pair of tokens whose bytes together are a token.
 
-Words of more than ``LONG`` bytes contract all equal pairs of smallest rank in one step where that
-is certain to give the same ids (no merge that contains the new token ranks before it), so that
-their steps stay few; results are those of one pair a step.
-
-Each worker process has one in-memory database on one thread, without a spill folder; batches bound
-what it holds. Words met before are looked up.
-
-Defined cases: null and empty texts have no ids and decode to nothing; repeated rows and ids are
-separate rows of the result; an empty table gives an empty result.
+Words of more than ``LONG`` bytes go through the same query in overlapping chunks. A sequence of tokens
+is the encoding of its bytes if every two neighbours in it are the encoding of theirs: the first merge across a
+border would also be made between these two alone. So two chunks that have a token at the same
+place in common join there, as each neighbourhood has been seen by one of them. Chunks without such a token
+become one. One of over ``LONG`` bytes contracts all equal pairs of smallest rank in one step
+where that is certain to give the same ids (no merge that contains the new token ranks before it).
+
+Each worker process has one in-memory database on one thread, without a spill folder; what its queries
+hold is bounded by the rows of all their steps. Distinct words are contracted once and looked up when a worker meets them again.
+
+Defined cases: null and empty texts have no ids and decode to nothing; very long texts and words are encoded whole; of equal
+pairs the leftmost goes first; repeated rows and ids are separate rows of the result; an empty table gives an empty
+result; only the two named columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +33,11 @@ import regex
 from pyspark.sql import DataFrame
 
 from setlake.llm.common import arrow_rows, worker_cache
-from setlake.llm.tokens import WordIds
 
-#: Bytes from which a word counts as long, words' bytes in one query, steps before rows are renewed, ids decoded in one group.
-LONG, QUERY_BYTES, STEPS, DECODE_IDS = 256, 1 << 17, 64, 1 << 16
+#: Words that a worker keeps; longer ones are not kept.
+CACHE_ENTRIES, CACHE_CHARS = 600_000, 48
+#: Bytes from which a word counts as long, length and distance of its chunks, rows of all steps of a query, steps before rows are renewed, ids decoded in one group.
+LONG, CHUNK, APART, QUERY_ROWS, STEPS, DECODE_IDS = 128, 96, 64, 1 << 21, 64, 1 << 16
 
 _SHORT = """
 WITH RECURSIVE steps AS (
@@ -59,6 +65,37 @@ WITH RECURSIVE steps AS (
 SELECT w, p, t FROM steps QUALIFY r = max(r) OVER (PARTITION BY w)"""
 
 
+class WordIds:
+    """The ids of words, as little-endian unsigned 32-bit integers.
+
+    Keeps what was used lately, in two generations of at most half of ``size`` words and a batch.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], size: int | None = None) -> None:
+        self._encode, self._half = encode, (size or CACHE_ENTRIES) // 2
+        self._now: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def join(self, split: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words behind each other."""
+        if len(self._now) > self._half:
+            self._before, self._now = self._now, {}
+        now = self._now
+        new = set().union(*split).difference(now)
+        for word in self._before.keys() & new:
+            now[word] = self._before[word]
+        new = [w for w in new if w not in now]
+        now.update(zip(new, self._encode(new), strict=True))
+        out = [b"".join(map(now.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > CACHE_CHARS:
+                del now[word]
+        return out
+
+
+Span = tuple[int, int, int]  # word, first byte, end
+
+
 class BytePairs:
     """The ranks of a ``tiktoken`` file and a pattern, in a database of their own."""
 
@@ -81,10 +118,13 @@ class BytePairs:
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS FROM given")
             self.db.unregister("given")
+        self.sizes = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        self.sizes[list(self.ranks.values())] = [len(t) for t in self.ranks]
+        self.decimal = [str(i) for i in range(len(self.sizes))]
         self.words = WordIds(self._learn)
 
     def _contract(self, words: list[bytes], long: bool) -> list[bytes]:
-        """The ids of each word. Positions count through all words, so that their order is that of the rows."""
+        """The ids of each word, as of :class:`WordIds`. Positions count through all words, so that their order is that of the rows."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         rows = pa.table({"w": np.repeat(np.arange(len(words)), sizes), "p": np.arange(sizes.sum()), "t": self.byte[np.frombuffer(b"".join(words), np.uint8)]})
         left = rows.num_rows + 1
@@ -101,22 +141,75 @@ class BytePairs:
         self.db.unregister(name)
         return out
 
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """The ids of words that aren't known yet, a bounded number of bytes in a query."""
-        found: dict[bytes, bytes] = {}
-        texts = [w.encode() for w in words]
+    def _contracted(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words, of a bounded number of steps' rows in a query."""
+        found: dict[bytes, bytes] = {b"": b""}
         for long in (False, True):
-            pending, held = [], 0
-            for data in texts:
-                if data not in self.ranks and (len(data) > LONG) == long:
-                    pending.append(data)
-                    held += len(data)
-                if held >= QUERY_BYTES:
+            pending, rows = [], 0
+            for word in {w: None for w in words if w and (len(w) > LONG) == long}:
+                pending.append(word)
+                rows += len(word) * (16 if long else len(word))
+                if rows >= QUERY_ROWS:
                     found.update(zip(pending, self._contract(pending, long), strict=True))
-                    pending, held = [], 0
+                    pending, rows = [], 0
             if pending:
                 found.update(zip(pending, self._contract(pending, long), strict=True))
-        return [self.ranks[d].to_bytes(4, "little") if d in self.ranks else found[d] for d in texts]
+        return [found[w] for w in words]
+
+    def _joint(self, a: Span, b: Span, found: dict[Span, np.ndarray], least: int) -> int:
+        """Where the first token from ``least`` on starts that two overlapping chunks share, or -1."""
+        place = []
+        for span in (a, b):
+            ends = span[1] + np.cumsum(self.sizes[found[span]])
+            place.append(ends - self.sizes[found[span]] << 32 | ends)
+        shared = np.intersect1d(*place, assume_unique=True) >> 32
+        shared = shared[shared >= least]
+        return int(shared[0]) if len(shared) else -1
+
+    def _joined(self, chunks: list[Span], size: int, found: dict[Span, np.ndarray]) -> tuple[list[Span], list[int], bool]:
+        """Chunks of a word and their joints, and whether all of them met; where they didn't, the first of two grows, and a second one that lies in it goes."""
+        kept, joints, whole = chunks[:1], [], True
+        for chunk in chunks[1:]:
+            w, start, end = kept[-1]
+            at = self._joint(kept[-1], chunk, found, joints[-1] if joints else 0)
+            if at >= 0:
+                joints.append(at)
+            elif end >= chunk[2]:
+                continue
+            else:
+                kept[-1] = (w, start, max(min(size, 2 * end - start), end))
+                joints.append(max(joints[-1:], default=0))
+                whole = False
+            kept.append(chunk)
+        return kept, joints, whole
+
+    def _by_chunks(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of long words."""
+        chunks = [[(w, at, min(at + CHUNK, len(word))) for at in range(0, len(word) - CHUNK + APART, APART)] for w, word in enumerate(words)]
+        found: dict[Span, np.ndarray] = {}
+        out: dict[int, np.ndarray] = {}
+        while left := [w for w in range(len(words)) if w not in out]:
+            new = [s for w in left for s in chunks[w] if s not in found]
+            ids = self._contracted([words[w][a:b] for w, a, b in new])
+            found.update((span, np.frombuffer(x, "<u4")) for span, x in zip(new, ids, strict=True))
+            for w in left:
+                chunks[w], joints, whole = self._joined(chunks[w], len(words[w]), found)
+                if whole:
+                    parts = []
+                    for chunk, low, high in zip(chunks[w], [-1, *joints], [*joints, len(words[w])], strict=True):  # a shared token is taken from the first chunk
+                        starts = chunk[1] + np.cumsum(self.sizes[found[chunk]]) - self.sizes[found[chunk]]
+                        parts.append(found[chunk][(starts > low) & (starts <= high)])
+                    out[w] = np.concatenate(parts)
+        return [out[w] for w in range(len(words))]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of words that aren't known yet."""
+        texts = [w.encode() for w in words]
+        long = [i for i, t in enumerate(texts) if len(t) > LONG]
+        out = self._contracted([t if len(t) <= LONG else b"" for t in texts])
+        for i, ids in zip(long, self._by_chunks([texts[i] for i in long]), strict=True):
+            out[i] = ids.tobytes()
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: empty) as little-endian unsigned 32-bit integers."""
@@ -169,7 +262,7 @@ def round_trip(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
         return {
             "doc_id": keys,
             "n_tokens": [len(x) for x in ids],
-            "ids_sha256": [hashlib.sha256(" ".join(map(str, x.tolist())).encode()).hexdigest() for x in ids],
+            "ids_sha256": [hashlib.sha256(" ".join(map(pairs.decimal.__getitem__, x.tolist())).encode()).hexdigest() for x in ids],
             "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in pairs.decode(ids)],
         }
 
