@@ -10,8 +10,9 @@ documents (id, first id, number of ids).
 Files are written under a name of the attempt and then moved, so a task that runs twice leaves one
 file. They go to the given folder on any file system that ``pyarrow.fs`` opens by URI.
 
-Defined cases: null and empty texts are documents of one id; null ids come first; rows that share an
-id are documents of their own, in the order of their texts; an empty table makes no file.
+Defined cases: null and empty texts are documents of one id; a very long text runs over as many sequences and record batches as it
+needs; null ids come first; rows that share an id are documents of their own, in the order of their texts (null first);
+an empty table makes no file; only the two named columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations

@@ -10,8 +10,10 @@ best-fit by decreasing length. The plan is a list of patterns with multiplicitie
 Pieces then take the slots of their length by rank. The rank is the place within a block of rows
 plus the counts of the blocks before, so that a length that a third of all rows have is still spread.
 
-Defined cases: a null or empty text is a document of one token (the end id); rows are documents of
-their own even where ids repeat or are null; an empty table packs into nothing.
+Defined cases: a null or empty text is a document of one token (the end id); a very long text is encoded whole and cut into full
+pieces behind the first; pieces of equal length are interchangeable and take their slots by row number; rows are documents of
+their own even where ids repeat or are null; an empty table packs into nothing; only the two named columns are read, so
+other columns may have any name.
 """
 
 from __future__ import annotations
