@@ -18,8 +18,8 @@ RING_RULES = ("first3", "distinct3")
 
 
 def text_present(text: Column) -> Column:
-    """Whether something is left after trimming Unicode space separators; a null is blank, a line feed is not."""
-    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"^\p{Zs}+|\p{Zs}+$", "")) > 0
+    """Whether something is left after trimming Unicode space separators; a null is blank, a line feed is not. Looks no further than the first such character."""
+    return F.coalesce(text, F.lit("")).rlike(r"[^\p{Zs}]")
 
 
 def successful(status: Column, text: Column, ok: str) -> Column:

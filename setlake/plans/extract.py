@@ -1,13 +1,22 @@
-"""Stage 1: raw identities of every PBF, one file each, with checkpoints that a later run resumes from."""
+"""Stage 1: raw identities of every PBF, one file each, with checkpoints that a later run resumes from.
+
+Files are taken in groups of ``workers``; within a group all executors share the blobs of every file. Each group's files get their
+checkpoints before the next group starts, so what fails later costs only itself. A group with a damaged file is taken again
+file by file, and the damage is raised once all good files are saved.
+"""
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
+from queue import Queue
+from threading import Thread
 
 import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,8 +126,9 @@ class ExtractionResult:
     outputs: tuple[Path, ...]
 
 
-def scanner_mode(scanner: Scanner | None) -> str:
-    return "coverage-only" if scanner is None else "custom"
+def scanner_mode(scanner: Scanner | None, ring_rule: str = "first3") -> str:
+    """What a checkpoint's identities were made by: another scanner or another ring rule makes others."""
+    return "custom" if scanner is not None else "coverage-only" if ring_rule == "first3" else f"coverage-only:{ring_rule}"
 
 
 def scan(spark: SparkSession, paths: list[Path], ring_rule: str = "first3", split_blobs: int = 256) -> DataFrame:
@@ -127,25 +137,61 @@ def scan(spark: SparkSession, paths: list[Path], ring_rule: str = "first3", spli
     return spark.read.format("osmpbf").option("paths", json.dumps([str(p) for p in paths])).option("ring_rule", ring_rule).option("split_blobs", split_blobs).load()
 
 
+def _told(scanner: Scanner, path: Path, rows: int) -> Iterator[list[Identity]]:
+    """What ``scanner`` tells of a file, ``rows`` at a time; it waits while two lots are not yet taken."""
+    lots: Queue = Queue(2)
+
+    def work() -> None:
+        held: list[Identity] = []
+
+        def take(found: Identity) -> None:
+            held.append(found)
+            if len(held) >= rows:
+                lots.put(held[:])
+                held.clear()
+
+        try:
+            scanner(path, take)
+            lots.put(held)
+            lots.put(None)
+        except BaseException as why:  # noqa: BLE001 - raised again where the lots are taken
+            lots.put(why)
+
+    Thread(target=work, daemon=True).start()
+    while (lot := lots.get()) is not None:
+        if isinstance(lot, BaseException):
+            raise lot
+        yield lot
+
+
 def _scan_custom(spark: SparkSession, paths: list[Path], scanner: Scanner) -> DataFrame:
     """The same by a function of the caller, one file a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                found: list[Identity] = []
-                scanner(Path(name), found.append)
                 source = Path(name).name.removesuffix(".osm.pbf")
-                for at in range(0, len(found), BATCH_ROWS):
-                    part = found[at : at + BATCH_ROWS]
+                for part in _told(scanner, Path(name), BATCH_ROWS):
                     yield pa.RecordBatch.from_pydict({"source": [source] * len(part), "osm_type": [i.osm_type for i in part], "osm_id": [i.osm_id for i in part]})
 
     files = spark.createDataFrame([(str(p),) for p in paths], "path string").repartition(len(paths))
     return files.mapInArrow(run, "source string, osm_type string, osm_id long")
 
 
+def _snapshots(spark: SparkSession, sources: list[Source]) -> dict[Source, Snapshot]:
+    """Snapshots with digests, which tasks take, a file each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = [Snapshot.read(Path(p)) for p in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"i": batch.column(0).to_pylist(), "size": [s.size_bytes for s in seen], "mtime": [s.mtime_ns for s in seen], "sha256": [s.sha256 for s in seen]})
+
+    files = spark.createDataFrame([(i, str(s.path)) for i, s in enumerate(sources)], "i int, path string").repartitionById(len(sources), F.col("i"))
+    rows = files.mapInArrow(run, "i long, size long, mtime long, sha256 string").collect()  # one short row a file
+    return {sources[r.i]: Snapshot(sources[r.i].path, r.size, r.mtime, r.sha256) for r in rows}
+
+
 def extract_all(spark: SparkSession, paths: DataPaths, run_id: str, *, scanner: Scanner | None = None, batch_rows: int = BATCH_ROWS, workers: int = 1, resume: bool = False, ring_rule: str = "first3") -> ExtractionResult:
-    """Extract every PBF of the raw root. ``workers`` over 1 reads with as many tasks at once as the cluster has room for.
+    """Extract every PBF of the raw root, ``workers`` files at a time, each read by as many tasks as the cluster has room for.
 
     Checkpoints are always written; only ``resume`` reads them.
     """
@@ -162,7 +208,7 @@ def extract_all(spark: SparkSession, paths: DataPaths, run_id: str, *, scanner:
         raise ExtractionError(f"raw PBF root contains no regular PBF files: {paths.raw_pbf_root}")
     if names := unreadable(files):
         raise ExtractionError(f"raw PBF files are unreadable: {', '.join(names)}")
-    root, mode = paths.run_root(run_id), scanner_mode(scanner)
+    root, mode = paths.run_root(run_id), scanner_mode(scanner, ring_rule)
     if root.exists() and not resume:
         raise ExtractionError(f"run root already exists: {root}")
     sources = [Source(p, root) for p in files]
@@ -170,28 +216,40 @@ def extract_all(spark: SparkSession, paths: DataPaths, run_id: str, *, scanner:
     (root / "checkpoints").mkdir(parents=True, exist_ok=True)
     done = {s: saved for s in sources if (saved := s.restore(mode))} if resume else {}
     pending = [s for s in sources if s not in done]
-    if pending:
-        for source in pending:
-            source.clear()
-        done |= _extract(spark, pending, scanner, mode, batch_rows, workers, ring_rule)
+    for source in pending:
+        source.clear()
+    groups, failed = [pending[at : at + workers] for at in range(0, len(pending), workers)], []
+    for group in groups:
+        try:
+            done |= _extract(spark, group, scanner, mode, batch_rows, ring_rule)
+        except PBFReadError as why:
+            if len(group) > 1:
+                groups += [[source] for source in group]
+            else:
+                failed.append(why)
+    if failed:
+        for why in failed[1:]:
+            failed[0].add_note(str(why))
+        raise failed[0]
     return ExtractionResult(root, sum(done[s][0] for s in sources), tuple(done[s][1] for s in sources), tuple(s.output for s in sources))
 
 
-def _extract(spark: SparkSession, pending: list[Source], scanner: Scanner | None, mode: str, batch_rows: int, workers: int, ring_rule: str) -> dict[Source, tuple[int, Snapshot]]:
-    before = {s: Snapshot.read(s.path) for s in pending}
-    files = [s.path for s in pending]
+def _extract(spark: SparkSession, group: list[Source], scanner: Scanner | None, mode: str, batch_rows: int, ring_rule: str) -> dict[Source, tuple[int, Snapshot]]:
+    """Write the files of a group and their checkpoints; rows and snapshots of each."""
+    before = _snapshots(spark, group)
+    files = [s.path for s in group]
     rows = scan(spark, files, ring_rule) if scanner is None else _scan_custom(spark, files, scanner)
-    rows = rows.coalesce(1) if workers == 1 else rows
-    number = spark.createDataFrame([(s.stem, i) for i, s in enumerate(pending)], "source string, number int")
-    dealt = rows.join(F.broadcast(number), "source").repartitionById(len(pending), F.col("number"))  # one row a file is broadcast
+    number = spark.createDataFrame([(s.stem, i) for i, s in enumerate(group)], "source string, number int")
+    dealt = rows.join(F.broadcast(number), "source").repartitionById(len(group), F.col("number"))  # at most MAX_WORKERS rows are broadcast
     try:
-        promote_parts(dealt, [s.output for s in pending], IDENTITY, batch_rows)
-    except Exception as why:
-        if "PBFReadError" in str(why):
-            raise PBFReadError(str(why).split("PBFReadError:")[-1].strip().splitlines()[0]) from why
+        promote_parts(dealt, [s.output for s in group], IDENTITY, batch_rows)
+    except PySparkException as why:
+        # Spark tells of an error in a task, or in a source's planning, by its text alone
+        if told := re.search(rf"\b{PBFReadError.__name__}: ([^\n]*)", str(why)):
+            raise PBFReadError(told[1]) from why
         raise
     out = {}
-    for source in pending:
+    for source in group:
         if not before[source].unchanged(Snapshot.stat_only(source.path)):
             raise InputChangedError(f"source PBF changed during scan: {source.path}")
         out[source] = source.save(before[source], mode), before[source]

@@ -83,11 +83,15 @@ def unreadable(files: Iterable[Path]) -> list[str]:
 
 
 def _bigint(df: DataFrame, name: str) -> DataFrame:
-    """A column as bigint under ANSI rules; fractions round half to even instead of being cut."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return df.withColumn(name, F.rint(F.col(name).cast("double")).cast("bigint"))
-    return df.withColumn(name, F.col(name).cast("bigint"))
+    """A column as bigint under ANSI rules. Fractions are rounded, not cut: halves of decimals and of numbers in text away from zero, those of floats to even."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = F.rint(value.cast("double"))
+    elif isinstance(kind, T.DecimalType):
+        value = F.round(value, 0)
+    elif isinstance(kind, T.StringType):
+        value = F.round(value.cast("decimal(38,9)"), 0)
+    return df.withColumn(name, value.cast("bigint"))
 
 
 def read_union(spark: SparkSession, files: Sequence[Path], columns: Sequence[str], bigints: Sequence[str] = ("osm_id",)) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import BinaryIO
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from setlake.functions.predicates import RELATION_TYPES, RING_RULES
+from setlake.functions.predicates import RELATION_TYPES, RING_RULES, Identity
 
 #: Size limits of the format, which tell a damaged file from a large one.
 MAX_HEADER, MAX_BLOB = 64 * 1024, 32 * 1024 * 1024
@@ -132,10 +132,21 @@ def _groups(block: bytes) -> tuple[list[bytes], list[bytes], list[bytes]]:
     return strings, ways, relations
 
 
+def _message(data: bytes) -> dict[int, int | bytes]:
+    """The fields of a way or relation by number. A packed field may come in several pieces, which belong behind each other."""
+    found: dict[int, int | bytes] = {}
+    for number, value in fields(data):
+        before = found.get(number)
+        found[number] = before + value if isinstance(value, bytes) and isinstance(before, bytes) else value
+    return found
+
+
 def _references(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Node references of many ways, concatenated, and where each begins."""
-    deltas = _zigzag(packed(b"".join(lists)))
-    sizes = np.array([sum(b < 0x80 for b in x) for x in lists], np.int64)
+    data = b"".join(lists)
+    deltas = _zigzag(packed(data))
+    ended = np.concatenate([[0], np.cumsum(np.frombuffer(data, np.uint8) < 0x80)])
+    sizes = np.diff(ended[np.cumsum([0, *map(len, lists)])])
     starts = np.cumsum(sizes) - sizes
     total = np.cumsum(deltas)
     before = np.where(starts > 0, total[starts - 1], 0) if len(total) else np.zeros(len(lists), np.int64)
@@ -166,7 +177,7 @@ def _tags(found: dict, strings: list[bytes]) -> list[tuple[str, str]]:
 def block_identities(block: bytes, rule: str) -> tuple[list[int], list[int]]:
     """Ids of closed ways and of area relations in a decompressed block; ids that aren't positive are passed over."""
     strings, ways, relations = _groups(block)
-    parsed = [dict(fields(w)) for w in ways]
+    parsed = [_message(w) for w in ways]
     way_ids: list[int] = []
     if parsed:
         refs, starts = _references([w.get(8, b"") for w in parsed])
@@ -175,7 +186,7 @@ def block_identities(block: bytes, rule: str) -> tuple[list[int], list[int]]:
     areas = {i for i, s in enumerate(strings) if s in {t.encode() for t in RELATION_TYPES}}
     kinds = {i for i, s in enumerate(strings) if s == b"type"}
     relation_ids = []
-    for found in map(dict, map(fields, relations)):
+    for found in map(_message, relations):
         pairs = zip(packed(found.get(2, b"")).tolist(), packed(found.get(3, b"")).tolist(), strict=False)
         if any(k in kinds and v in areas for k, v in pairs) and 0 < found.get(1, 0) < 1 << 63:
             relation_ids.append(found[1])
@@ -185,12 +196,12 @@ def block_identities(block: bytes, rule: str) -> tuple[list[int], list[int]]:
 def block_elements(block: bytes) -> Iterator[tuple[str, int, list[int], list[tuple[str, str]]]]:
     """All ways and relations of a block: type, id, references (none for relations), tags."""
     strings, ways, relations = _groups(block)
-    parsed = [dict(fields(w)) for w in ways]
+    parsed = [_message(w) for w in ways]
     if parsed:
         refs, starts = _references([w.get(8, b"") for w in parsed])
         for i, w in enumerate(parsed):
             yield "way", w.get(1, 0), refs[starts[i] : starts[i + 1]].tolist(), _tags(w, strings)
-    for found in map(dict, map(fields, relations)):
+    for found in map(_message, relations):
         yield "relation", found.get(1, 0), [], _tags(found, strings)
 
 
@@ -281,12 +292,36 @@ class PbfDataSource(DataSource):
         return PbfReader(dict(self.options))
 
 
-def scan_pbf_keys(path: Path | str, callback, *, ring_rule: str = "first3") -> None:
-    """Without Spark: call ``callback`` with an Identity for each key of one file."""
-    from setlake.functions.predicates import Identity
-
-    reader = PbfReader({"path": str(path), "ring_rule": ring_rule})
-    for part in reader.partitions():
-        for batch in reader.read(part):
-            for kind, ident in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                callback(Identity(kind, ident))
+class KeyReader:
+    """Reads one file without Spark and calls ``callback`` with each key. Any object that is made and used like it can take its place."""
+
+    def __init__(self, *, callback: Callable[[Identity], None], ring_rule: str = "first3") -> None:
+        self.callback, self.ring_rule = callback, ring_rule
+
+    def apply_file(self, filename: str, *, locations: bool = False) -> None:
+        """``locations`` asks for coordinates, which this reader has none of."""
+        if locations:
+            raise ValueError("no locations of nodes are read")
+        reader = PbfReader({"path": filename, "ring_rule": self.ring_rule})
+        for part in reader.partitions():
+            for batch in reader.read(part):
+                for kind, ident in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                    self.callback(Identity(kind, ident))
+
+
+def scan_pbf_keys(path: Path | str, callback: Callable[[Identity], None], *, ring_rule: str = "first3", handler_factory: Callable | None = None) -> None:
+    """Without Spark: call ``callback`` with an Identity for each key of one file.
+
+    ``handler_factory(callback=...)`` makes another reader; what goes wrong in it is a :class:`PBFReadError` like any other damage.
+    """
+    if not Path(path).exists():
+        raise PBFReadError(f"PBF does not exist: {path}")
+    if not Path(path).is_file():
+        raise PBFReadError(f"PBF is not a file: {path}")
+    try:
+        handler = handler_factory(callback=callback) if handler_factory else KeyReader(callback=callback, ring_rule=ring_rule)
+        handler.apply_file(str(path), locations=False)
+    except PBFReadError:
+        raise
+    except (OSError, RuntimeError, ValueError) as why:
+        raise PBFReadError(f"cannot read PBF {path}: {why}") from why

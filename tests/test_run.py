@@ -12,6 +12,7 @@ from setlake.plans import stages
 from setlake.plans.extract import ExtractionError, Snapshot, Source, extract_all
 from setlake.schemas import OVERLAP, SUMMARY, arrow
 from setlake.sinks import atomic
+from setlake.sources.pbf import PBFReadError
 from setlake.streaming.universe import grow_universe
 from tests.support import parquet, pbf, tree
 
@@ -112,6 +113,49 @@ def test_extraction_errors(spark, tmp_path):
         extract_all(spark, paths, "r")
 
 
+@pytest.mark.parametrize("workers", [1, 3])
+def test_a_damaged_file_costs_only_itself(spark, tmp_path, workers):
+    paths = tree(tmp_path)
+    (paths.raw_pbf_root / "aa.osm.pbf").write_bytes(pbf([(8, [1, 2, 3, 1])])[:-5])
+    with pytest.raises(PBFReadError, match="aa.osm.pbf"):
+        extract_all(spark, paths, "r", workers=workers)
+    root = paths.run_root("r")
+    assert sorted(p.name for p in (root / "checkpoints").iterdir()) == ["a.json", "b.json"]
+    kept = {n: (root / "raw-identities" / f"{n}.parquet").stat().st_mtime_ns for n in "ab"}
+    (paths.raw_pbf_root / "aa.osm.pbf").write_bytes(pbf([(8, [1, 2, 3, 1])]))
+    again = extract_all(spark, paths, "r", workers=workers, resume=True)
+    assert [p.name for p in again.outputs] == ["a.parquet", "aa.parquet", "b.parquet"] and again.occurrence_count == 6
+    assert kept == {n: (root / "raw-identities" / f"{n}.parquet").stat().st_mtime_ns for n in "ab"}
+
+
+def test_another_ring_rule_scans_again(spark, tmp_path):
+    paths = tree(tmp_path)
+    (paths.raw_pbf_root / "a.osm.pbf").write_bytes(pbf([(1, [1, 2, 3, 1]), (2, [1, 2, 1, 3, 4, 1])]))
+    first = stages.run_analysis(spark, paths, "r")
+    again = stages.run_analysis(spark, paths, "r", resume=True, ring_rule="distinct3")
+    assert (first.extraction.occurrence_count, again.extraction.occurrence_count) == (3, 4)
+    assert json.loads(again.manifest_path.read_text())["scanner_mode"] == "coverage-only:distinct3"
+    back = stages.run_analysis(spark, paths, "r", resume=True)
+    assert back.extraction.occurrence_count == 3 and back.overlap.row_count == first.overlap.row_count
+
+
+def test_scanner_errors_and_many_keys(spark, tmp_path):
+    paths = tree(tmp_path)
+
+    def many(path, callback):
+        for i in range(1, 250_001):
+            callback(Identity("way", i))
+
+    assert extract_all(spark, paths, "m", scanner=many).occurrence_count == 500_000
+
+    def broken(path, callback):
+        callback(Identity("way", 1))
+        raise PBFReadError(f"cannot read {path.name} any more")
+
+    with pytest.raises(PBFReadError, match="cannot read a.osm.pbf any more"):
+        extract_all(spark, paths, "n", scanner=broken)
+
+
 def test_row_groups_are_bounded(spark, tmp_path):
     paths = tree(tmp_path)
     (paths.raw_pbf_root / "a.osm.pbf").write_bytes(pbf([(i, [1, 2, 3, 1]) for i in range(1, 1001)]))
