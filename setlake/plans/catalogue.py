@@ -7,6 +7,7 @@ and text rules; set B comes from purchase events and line items.
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,13 @@ from pyspark.sql import functions as F
 from setlake.functions import predicates as P
 from setlake.operators import overlap as O  # noqa: E741
 from setlake.operators import sets as S
+from setlake.plans.extract import scan
+from setlake.schemas import IDENTITY
+from setlake.session import scratch
+from setlake.sinks.pbf import write_pbf
+from setlake.sources.files import parquet_files, read_union
+from setlake.sources.text import WebsiteSource, WikidataSource
+from setlake.streaming.universe import grow_universe
 
 KEY = ("entity_type", "entity_id")
 NAMES = ("in_a", "in_b")
@@ -57,18 +65,28 @@ def _rows(spark: SparkSession, d: str, keys: DataFrame | None = None) -> DataFra
     return O.classified(_universe(spark, d) if keys is None else keys, set_a(spark, d), set_b(spark, d), NAMES, LABELS, KEY)
 
 
-_LINKS = "SELECT 'p' || (l_orderkey % 3) AS project, l_orderkey AS document_id, 'supplier' AS entity_type, l_suppkey AS entity_id FROM lineitem WHERE l_orderkey % 3 IN (0, 1)"
-_DOCS = "SELECT 'p' || (o_orderkey % 3) AS project, o_orderkey AS document_id FROM orders WHERE o_orderkey % 3 IN (0, 1) AND o_orderstatus = 'F' AND o_totalprice > 495000"
+_LINKS = "SELECT l_linestatus AS project, l_orderkey AS document_id, 'supplier' AS entity_type, l_suppkey AS entity_id FROM lineitem WHERE l_linestatus IN ('F', 'O')"
+_DOCS = "SELECT o_orderstatus AS project, o_orderkey AS document_id FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority = '1-URGENT' AND o_totalprice > 490000"
 
 
 def _links(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    project = lambda c: F.concat(F.lit("p"), (F.col(c) % 3).cast("string")).alias("project")
-    links = _table(spark, d, "lineitem").select(project("l_orderkey"), F.col("l_orderkey").alias("document_id"), F.lit("supplier").alias("entity_type"), F.col("l_suppkey").alias("entity_id"))
-    docs = _table(spark, d, "orders").filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 495000)).select(project("o_orderkey"), F.col("o_orderkey").alias("document_id"))
-    wanted = F.col("project").isin("p0", "p1")
+    links = _table(spark, d, "lineitem").select(F.col("l_linestatus").alias("project"), F.col("l_orderkey").alias("document_id"), F.lit("supplier").alias("entity_type"), F.col("l_suppkey").alias("entity_id"))
+    docs = _table(spark, d, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 490000)).select(F.col("o_orderstatus").alias("project"), F.col("o_orderkey").alias("document_id"))
+    wanted = F.col("project").isin("F", "O")
     return links.filter(wanted), docs.filter(wanted)
 
 
+_LATE = """l AS (SELECT DISTINCT 'customer' AS entity_type, o_custkey AS entity_id FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 250000
+    UNION SELECT 'supplier', l_suppkey FROM lineitem WHERE l_returnflag = 'A' AND l_quantity >= 50 AND l_tax = 0)"""
+
+
+def _smaller_universe(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of a part of the occurrences, so that both sets have members outside."""
+    orders = _table(spark, d, "orders").filter("o_orderstatus = 'P' AND o_totalprice > 250000")
+    items = _table(spark, d, "lineitem").filter("l_returnflag = 'A' AND l_quantity >= 50 AND l_tax = 0")
+    return O.universe(_keyed(orders, "customer", "o_custkey"), _keyed(items, "supplier", "l_suppkey"), key=KEY)
+
+
 _R = "r AS (SELECT 'customer' AS entity_type, o_custkey AS entity_id FROM orders UNION ALL SELECT 'supplier', l_suppkey FROM lineitem)"
 _A = """a AS (SELECT DISTINCT 'customer' AS entity_type, o_custkey AS entity_id FROM orders
     WHERE (o_orderstatus = 'F' AND length(trim(coalesce(o_orderpriority, ''))) > 0 AND o_totalprice > 400000)
@@ -177,7 +195,7 @@ def _category(label: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def orphan_members(spark, d):
     """Members outside a smaller universe."""
-    return O.orphans(set_a(spark, d), _universe(spark, d).filter("entity_id % 3 <> 0"), KEY)
+    return O.orphans(set_a(spark, d), _smaller_universe(spark, d), KEY)
 
 
 def _portable_shard() -> Column:
@@ -225,15 +243,22 @@ def inventory_intersection(spark, d):
 
 def alignment_gap(spark, d):
     """How many members of each set are in the universe."""
-    keys = _universe(spark, d).filter("entity_id % 3 <> 0").withColumn("_in", F.lit(1))
+    keys = _smaller_universe(spark, d).withColumn("_in", F.lit(1))
     both = set_a(spark, d).withColumn("member_set", F.lit("a")).unionByName(set_b(spark, d).withColumn("member_set", F.lit("b")))
     return both.join(keys, list(KEY), "left").groupBy("member_set").agg(F.count(F.lit(1)).alias("members"), F.count("_in").alias("in_universe"))
 
 
+def alignment_rows(spark, d):
+    """The members of each set, with whether they are in the universe."""
+    keys = _smaller_universe(spark, d)
+    sets = [O.flagged(members, keys, keys, ("in_universe", "_again"), KEY).select(F.lit(name).alias("member_set"), *KEY, "in_universe") for name, members in (("a", set_a(spark, d)), ("b", set_b(spark, d)))]
+    return sets[0].unionByName(sets[1])
+
+
 def strict_membership(spark, d):
     """Link membership with a provenance rule on the links."""
     links, docs = _links(spark, d)
-    return S.linked_members(links.filter("project = 'p0'"), docs, key=KEY)
+    return S.linked_members(links.filter("project = 'F'"), docs, key=KEY)
 
 
 def text_overlap(spark, d):
@@ -244,7 +269,99 @@ def text_overlap(spark, d):
     return O.summary(O.classified(S.distinct_keys(docs, KEY), joined.filter("quality = 1").select(*KEY), joined.filter("toxic = 0 AND n_chars > 200").select(*KEY), NAMES, LABELS, KEY), LABELS)
 
 
+def _folder(spark: SparkSession, name: str) -> Path:
+    """A new folder in the shared one; the file sources need one that is mounted."""
+    path = scratch(spark, name)
+    if "://" in path and not path.startswith("file://"):
+        raise RuntimeError(f"source trees need a mounted shared folder, not {path}")
+    return Path(path.removeprefix("file://"))
+
+
+def _put(df: DataFrame, folder: Path) -> None:
+    """Add ``df`` to a folder of Parquet files, whatever the schema of the others."""
+    df.write.mode("append").parquet(folder.as_uri())
+
+
+def website_source(spark, d):
+    """The website source over files whose keys drift from text to two widths of integers: validation, union by name, both status and text pairs."""
+    root = _folder(spark, "website")
+    status = lambda c, ok: F.when(F.col(c) == ok, "success").when(F.col(c).isNotNull(), "failed")
+    orders = _table(spark, d, "orders").select(F.lit("way").alias("osm_type"), F.col("o_custkey").alias("osm_id"), status("o_orderstatus", "F").alias("website_text_status"), F.when(F.col("o_totalprice") > 400000, F.col("o_orderpriority")).otherwise(" ").alias("website_text"),
+        status("o_orderstatus", "P").alias("contact_website_text_status"), F.when(F.col("o_totalprice") < 2000, F.col("o_orderpriority")).alias("contact_website_text"))
+    items = _table(spark, d, "lineitem").filter("l_quantity >= 50")
+    texts = [status("l_returnflag", "R").alias("website_text_status"), F.when(F.col("l_discount") >= 0.1, F.col("l_linestatus")).alias("website_text"), F.lit(None).cast("string").alias("contact_website_text_status"), F.lit(None).cast("string").alias("contact_website_text")]
+    _put(orders, root / "polygons")
+    _put(items.select(F.lit("relation").alias("osm_type"), F.col("l_suppkey").cast("string").alias("osm_id"), *texts), root / "polygons")
+    _put(items.select(F.lit("node").alias("osm_type"), F.col("l_linenumber").alias("osm_id"), *reversed(texts), F.lit(1).alias("more")), root / "polygons")
+    return WebsiteSource.validate(root).members(spark)
+
+
+def wikidata_source(spark, d):
+    """The link and document source: a project's documents in its own folder, links to all, a third project that is not read."""
+    root = _folder(spark, "wikidata")
+    project = lambda c: F.when(F.col(c) == "O", "wikipedia").when(F.col(c) == "F", "wikivoyage").otherwise("other").alias("project")
+    links = _table(spark, d, "lineitem").select(project("l_linestatus"), F.col("l_orderkey").cast("string").alias("document_id"), F.when(F.col("l_returnflag") == "A", "node").otherwise("relation").alias("osm_type"), F.col("l_suppkey").cast("int").alias("osm_id"))
+    docs = _table(spark, d, "orders").select(project("o_orderstatus"), F.col("o_orderkey").cast("string").alias("document_id"), F.when(F.col("o_totalprice") > 490000, "ok").otherwise("error").alias("fetch_status"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).otherwise(" ").alias("full_text"))
+    _put(links, root / "polygon_document_links")
+    for name in ("wikipedia", "wikivoyage", "other"):
+        _put(docs.filter(F.col("project") == name), root / name / "documents")
+    return WikidataSource.validate(root).members(spark)
+
+
+def read_union_drift(spark, d):
+    """Files of four schemas as one table: united by name, absent columns null, keys of all types as integers."""
+    root = _folder(spark, "drift")
+    customers = _table(spark, d, "customer")
+    _put(customers.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name")), root)
+    _put(customers.select(F.col("c_name").alias("name"), (F.col("c_custkey") + F.lit(0.5)).cast("decimal(20,1)").alias("id")), root)
+    _put(_table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.lit(1).alias("unread")), root)
+    _put(_table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("segment")), root)
+    return read_union(spark, parquet_files(root, "drift"), ("id", "segment", "name"), ("id",))
+
+
+def sharded_rows(spark, d):
+    """Classified rows as they are stored: dealt to 64 shards by key and sorted within. Tells whether each lies on its shard."""
+    rows = _rows(spark, d).withColumnsRenamed({"entity_type": "osm_type", "entity_id": "osm_id"})
+    return O.sharded(rows, 64).withColumn("on_its_shard", F.spark_partition_id() == P.shard(F.col("osm_type"), F.col("osm_id"), 64))
+
+
+def pbf_identities(spark, d):
+    """The PBF source over files of orders as ways (parts by line number, closed by the first) and items as relations, with ids of closed ways and areas."""
+    items = _table(spark, d, "lineitem")
+    refs = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
+    ways = items.groupBy("l_orderkey").agg(refs.alias("refs"), F.max("l_quantity").alias("most")).select(F.lit("way").alias("osm_type"), F.col("l_orderkey").alias("osm_id"), F.when(F.col("most") > 10, F.concat("refs", F.slice("refs", 1, 1))).otherwise(F.col("refs")).alias("refs"))
+    tag = lambda k, v: F.struct(F.lit(k).alias("k"), v.alias("v"))
+    kind = F.when(F.col("p_size") < 10, "multipolygon").when(F.col("p_size") < 20, "boundary").when(F.col("p_size") < 30, "route").otherwise("Boundary")
+    areas = _table(spark, d, "part").select(F.lit("relation").alias("osm_type"), F.col("p_partkey").alias("osm_id"), F.array(tag("name", F.col("p_name")), tag("type", kind)).alias("tags"))
+    files = write_pbf(ways.unionByName(areas, allowMissingColumns=True), _folder(spark, "pbf"))
+    return scan(spark, files, split_blobs=4).select("osm_type", "osm_id")
+
+
+def stream_universe(spark, d):
+    """The universe as a stream that is run twice: each run takes in the files that came since."""
+    root = _folder(spark, "stream")
+    raw, out, checkpoint = (root / n for n in ("raw", "out", "checkpoint"))
+    for name in ("orders", "lineitem"):
+        key = "o_custkey" if name == "orders" else "l_suppkey"
+        kind = "way" if name == "orders" else "relation"
+        _put(_table(spark, d, name).select(F.lit(kind).alias("osm_type"), F.col(key).alias("osm_id")), raw)
+        grow_universe(spark, raw.as_uri(), out.as_uri(), checkpoint.as_uri()).awaitTermination()
+    return spark.read.schema(IDENTITY).parquet(out.as_uri())
+
+
 _SQL = {
+    "website_source": """SELECT DISTINCT 'way' AS osm_type, o_custkey AS osm_id FROM orders WHERE (o_orderstatus = 'F' AND o_totalprice > 400000) OR (o_orderstatus = 'P' AND o_totalprice < 2000)
+        UNION SELECT 'relation', l_suppkey FROM lineitem WHERE l_quantity >= 50 AND l_returnflag = 'R' AND l_discount >= 0.1""",
+    "wikidata_source": """SELECT DISTINCT 'relation' AS osm_type, l_suppkey AS osm_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND l_linestatus = o_orderstatus
+        WHERE l_returnflag <> 'A' AND l_linestatus IN ('O', 'F') AND o_totalprice > 490000 AND o_orderpriority <> '5-LOW'""",
+    "read_union_drift": """SELECT c_custkey AS id, c_mktsegment AS segment, c_name AS name FROM customer UNION ALL SELECT CAST(c_custkey + 0.5 AS DECIMAL(20, 1))::BIGINT, NULL, c_name FROM customer
+        UNION ALL SELECT s_suppkey, NULL, NULL FROM supplier UNION ALL SELECT n_nationkey, n_regionkey::VARCHAR, NULL FROM nation""",
+    "sharded_rows": _WITH + "SELECT entity_type AS osm_type, entity_id AS osm_id, in_a, in_b, overlap_category, true AS on_its_shard FROM c",
+    "pbf_identities": """WITH w AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p, max(l_quantity) AS most FROM lineitem GROUP BY l_orderkey),
+        r AS (SELECT l_orderkey, CASE WHEN most > 10 THEN list_append(p, p[1]) ELSE p END AS r FROM w)
+        SELECT 'way' AS osm_type, l_orderkey AS osm_id FROM r WHERE len(r) >= 3 AND r[1] <> r[2] AND r[1] <> r[3] AND r[2] <> r[3] AND r[-1] = r[1]
+        UNION ALL SELECT 'relation', p_partkey FROM part WHERE p_size < 20""",
+    "stream_universe": "SELECT DISTINCT 'way' AS osm_type, o_custkey AS osm_id FROM orders UNION SELECT 'relation', l_suppkey FROM lineitem",
     "scan_project_key": "SELECT 'customer' AS entity_type, CAST(o_custkey AS BIGINT) AS entity_id FROM orders",
     "filter_type_in": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase')",
     "filter_status_text": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND length(trim(coalesce(o_orderpriority, ''))) > 0",
@@ -267,7 +384,7 @@ _SQL = {
     "category_a_only": _WITH + "(SELECT * FROM u INTERSECT SELECT * FROM a) EXCEPT SELECT * FROM b",
     "category_b_only": _WITH + "(SELECT * FROM u INTERSECT SELECT * FROM b) EXCEPT SELECT * FROM a",
     "category_neither": _WITH + "SELECT * FROM u EXCEPT (SELECT * FROM a UNION SELECT * FROM b)",
-    "orphan_members": _WITH + "SELECT * FROM a EXCEPT SELECT * FROM u WHERE entity_id % 3 <> 0",
+    "orphan_members": f"WITH {_A}, {_LATE} SELECT * FROM a EXCEPT SELECT * FROM l",
     "shard_histogram": _WITH + "SELECT ('0x' || substr(md5(entity_type || ':' || entity_id), 31, 2))::BIGINT % 64 AS shard_id, count(*) AS count FROM u GROUP BY 1",
     "shard_sorted_rows": _WITH + "SELECT *, ('0x' || substr(md5(entity_type || ':' || entity_id), 31, 2))::BIGINT % 64 AS shard_id FROM c",
     "ring_predicate": f"""SELECT id::INT AS id, coalesce(len(r) >= 3 AND r[1] <> r[2] AND r[1] <> r[3] AND r[2] <> r[3] AND r[-1] = r[1], false) AS first3,
@@ -277,9 +394,11 @@ _SQL = {
     + ", ".join(f"({i}, {[dict(k=k, v=v) for k, v in t]}::STRUCT(k VARCHAR, v VARCHAR)[])" for i, t in enumerate(_TAGS)) + ") AS x(id, tags)",
     "union_by_name_drift": "SELECT c_custkey AS id, c_mktsegment AS segment FROM customer UNION ALL BY NAME SELECT s_suppkey AS id FROM supplier",
     "inventory_intersection": _WITH + "SELECT * FROM a INTERSECT SELECT * FROM b",
-    "alignment_gap": _WITH + """, m AS (SELECT 'a' AS member_set, * FROM a UNION ALL SELECT 'b', * FROM b)
-        SELECT member_set, count(*) AS members, count(*) FILTER ((entity_type, entity_id) IN (SELECT (entity_type, entity_id) FROM u WHERE entity_id % 3 <> 0)) AS in_universe FROM m GROUP BY member_set""",
-    "strict_membership": f"SELECT DISTINCT entity_type, entity_id FROM ({_LINKS}) JOIN ({_DOCS}) USING (project, document_id) WHERE project = 'p0'",
+    "alignment_gap": f"WITH {_A}, {_B}, {_LATE}" + """, m AS (SELECT 'a' AS member_set, * FROM a UNION ALL SELECT 'b', * FROM b)
+        SELECT member_set, count(*) AS members, count(*) FILTER ((entity_type, entity_id) IN (SELECT (entity_type, entity_id) FROM l)) AS in_universe FROM m GROUP BY member_set""",
+    "alignment_rows": f"WITH {_A}, {_B}, {_LATE}" + """, m AS (SELECT 'a' AS member_set, * FROM a UNION ALL SELECT 'b', * FROM b)
+        SELECT *, (entity_type, entity_id) IN (SELECT (entity_type, entity_id) FROM l) AS in_universe FROM m""",
+    "strict_membership": f"SELECT DISTINCT entity_type, entity_id FROM ({_LINKS}) JOIN ({_DOCS}) USING (project, document_id) WHERE project = 'F'",
     "text_overlap": """WITH u AS (SELECT DISTINCT lang AS entity_type, doc_id AS entity_id FROM documents), j AS (SELECT * FROM documents JOIN labels USING (doc_id)),
         c AS (SELECT CASE WHEN x AND y THEN 'both' WHEN x THEN 'a_only' WHEN y THEN 'b_only' ELSE 'neither' END AS overlap_category FROM (
         SELECT (entity_type, entity_id) IN (SELECT (lang, doc_id) FROM j WHERE quality = 1) AS x, (entity_type, entity_id) IN (SELECT (lang, doc_id) FROM j WHERE toxic = 0 AND n_chars > 200) AS y FROM u))"""
