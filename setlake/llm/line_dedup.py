@@ -15,8 +15,9 @@ without a word always stay.
 4. Lines of a variant are compared to the earliest of them, never to each other: any two differ by
    one edit, so the earliest is what matters. Each comparison is verified word by word.
 
-Defined cases: null and empty texts have no line with a word and stay; rows that share an id or have
-none are documents of their own (see ``with_key``); an empty table gives an empty result.
+Defined cases: null and empty texts have no line with a word and stay; a very long text is split whole, and its lines are taken by
+number in time that grows with them; of equal lines the earliest stays; rows that share an id or have
+none are documents of their own (see ``with_key``); an empty table gives an empty result; columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -90,10 +91,9 @@ def near_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     halves = firsts.select("first.key", "first.line", F.explode("halves").alias("half"))
     shared = materialise(halves.groupBy("half").count().filter("count > 1").select("half"), "halves")
-    maybe = halves.join(shared, "half", "left_semi").groupBy("key").agg(F.collect_set("line").alias("lines"))
-    numbered = F.transform(_lines(F.col(text_col)), lambda x, i: F.struct(i.alias("line"), x.alias("text")))
-    fetched = df.select(F.col("_key").alias("key"), text_col).join(materialise(maybe, "maybe"), "key")
-    picked = fetched.select("key", F.explode(F.filter(numbered, lambda s: F.array_contains("lines", s["line"]))).alias("s"))
+    maybe = halves.join(shared, "half", "left_semi").groupBy("key").agg(F.collect_set("line").alias("wanted"))
+    fetched = _split_below(df.select(F.col("_key").alias("key"), text_col), text_col, materialise(maybe, "maybe"), "key", "inner")
+    picked = fetched.select("key", F.explode(F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get("_lines", i).alias("text")))).alias("s"))
     texts = materialise(picked.select("key", "s.line", _words(F.col("s.text")).alias("words")), "texts")
     release_shuffles(spark)
 
@@ -115,26 +115,36 @@ def near_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return gone
 
 
+def _split_below(df: DataFrame, text_col: str, other: DataFrame, key: str, how: str) -> DataFrame:
+    """``df`` with ``_lines`` instead of its text, joined to ``other``.
+
+    Texts are split below the join: above it, an expression that takes line by line would split the text anew for each.
+    """
+    return df.withColumn("_lines", F.when(F.col(text_col).isNotNull(), _lines(F.col(text_col)))).drop(text_col).join(other, key, how)
+
+
 def _kept(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``df`` with ``_key``, ``_gone`` (line numbers, or null) and ``_kept`` (the lines that stay)."""
+    """``df`` with ``_key``, ``_lines`` instead of its text (null of a null), ``_gone`` (line numbers, or null) and ``_kept`` (the lines that stay)."""
     keyed, _ = with_key(df, id_col, text_col)
     gone = near_lines(keyed, id_col, text_col).groupBy("key").agg(F.collect_list("line").alias("_gone")).select(F.col("key").alias("_key"), "_gone")
-    numbered = F.transform(_lines(F.col(text_col)), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    kept = F.transform(F.filter(numbered, lambda s: ~F.array_contains("_gone", s["i"])), lambda s: s["x"])
-    return keyed.join(gone, "_key", "left").withColumn("_kept", F.when(F.col("_gone").isNull(), _lines(F.col(text_col))).otherwise(kept))
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.transform(numbers, lambda i: F.get("_lines", i))
+    return _split_below(keyed, text_col, gone, "_key", "left").withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(kept))
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, n_lines, n_removed, kept_sha256 (of the lines that stay, joined by line feeds)."""
     named = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    n = F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(_lines(F.col("text"))))
+    empty = F.col("_lines").isNull() | ((F.size("_lines") == 1) & (F.get("_lines", F.lit(0)) == ""))
     return _kept(named, "doc_id", "text").select(
-        "doc_id", n.cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256")
+        "doc_id",
+        F.when(empty, 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
+        F.sha2(F.coalesce(F.array_join("_kept", "\n"), F.lit("")), 256).alias("kept_sha256"),
     )
 
 
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with its texts cut to the lines that stay; texts that lose nothing are untouched, nulls included."""
     inner, (ident, text) = numbered_columns(df, id_col, text_col)
-    cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n"))
-    return _kept(inner, ident, text).withColumn(text, cut).select(inner.columns).toDF(*df.columns)
+    return _kept(inner, ident, text).withColumn(text, F.array_join("_kept", "\n")).select(inner.columns).toDF(*df.columns)
