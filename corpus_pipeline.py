@@ -1,11 +1,17 @@
-"""The corpus pipeline: language ID, exact dedup, near-dedup, secret scan, packing."""
+"""The corpus pipeline: language ID, exact dedup, near-dedup, secret scan, packing.
+
+Each stage is one operator over all that the stage before it kept, and its docstring states the operator's results for odd rows.
+Here: documents with a null or empty text, or one without a letter, go at the first stage; with no labelled row at all no language is
+known and every document goes; ids that are null or shared are documents of their own; columns of any name pass through
+up to the last stage; an empty table packs into nothing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from setlake.llm import catalogue, exact_dedup, langid, packing, secrets, simhash
-from setlake.llm.common import materialise
+from setlake.llm.common import drop_scratch, materialise
 
 #: Tokens of a packed sequence.
 SEQUENCE = 2048
@@ -52,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), name)
+        drop_scratch(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)

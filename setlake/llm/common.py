@@ -1,14 +1,12 @@
 """Helpers shared by the training-data operators: shared scratch tables, row keys, Arrow maps.
 
 Intermediate tables go to the shared folder that the session names in ``spark.checkpoint.dir``; they
-cut lineage and outlive lost executors. Only where that setting is absent (tests, a laptop) does
-:func:`shared_dir` choose a folder of its own.
+cut lineage and outlive lost executors. Only where that setting is absent and driver and executors are one process (tests, a laptop)
+does ``shared_dir`` choose a folder of its own.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -17,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_own_dir: list[str] = []
+from setlake.session import scratch, shared_dir
+
+__all__ = ["scratch", "shared_dir"]
+
 _worker_caches: list = []
 _last_work: list[object] = []
 
@@ -37,21 +38,6 @@ def begin_work(name: object) -> None:
             cached.cache_clear()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or one of our own where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _own_dir:
-        _own_dir.append("file://" + tempfile.mkdtemp(prefix="setlake-"))
-    return _own_dir[0]
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/setlake/{name}-{uuid.uuid4().hex}"
-
-
 def nullable(schema: T.StructType) -> T.StructType:
     """``schema`` with every top-level column nullable, as Parquet reads it back."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
@@ -62,16 +48,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(nullable(df.schema)).parquet(path)
+    return at_path(spark.read.schema(nullable(df.schema)).parquet(path), path)
+
+
+def at_path(df: DataFrame, path: str) -> DataFrame:
+    """``df``, which :func:`drop_scratch` may delete the files of."""
+    df._scratch_path = path
+    return df
 
 
 def drop_scratch(spark: SparkSession, *frames: DataFrame) -> None:
-    """Delete the files behind tables that :func:`materialise` made, once nothing reads them."""
+    """Delete the files behind tables that :func:`materialise` made, once nothing reads them; other tables are left alone."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for df in frames:
-        files = df.inputFiles()
-        if files and "/setlake/" in files[0]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        if named := vars(df).get("_scratch_path"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(named)
             path.getFileSystem(conf).delete(path, True)
 
 
@@ -95,15 +86,15 @@ def with_key(df: DataFrame, id_col: str, text_col: str, name: str = "keyed") ->
     """``df`` with a unique non-null long ``_key`` that sorts as ``id_col`` does, and whether ``_key`` is ``id_col`` itself.
 
     Unique non-null ids are used as they are (an aggregate over the ids alone decides it). Otherwise
-    rows are sorted by (id, nulls first, then text) into a shared table whose row numbers become the
-    keys, so that rows sharing an id count as documents of their own, in the order of their texts.
+    rows are sorted by (id, nulls first, then a hash of the text, then the text) into a shared table whose row numbers become the
+    keys, so that rows sharing an id count as documents of their own, in an order that their texts alone decide.
     """
     ids = df.select(F.col(id_col).cast("long").alias("i"))
     odd = ids.groupBy("i").count().filter((F.col("count") > 1) | F.col("i").isNull()).limit(1).count()
     if not odd:
         return df.withColumn("_key", F.col(id_col).cast("long")), True
     order = [F.col(id_col).asc_nulls_first(), F.xxhash64(text_col)]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order, F.col(text_col).asc_nulls_first())
     return materialise(ranged.withColumn("_key", F.monotonically_increasing_id()), name), False
 
 

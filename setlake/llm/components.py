@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from setlake.llm.common import drop_scratch, materialise
+from setlake.llm.common import at_path, drop_scratch, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
         renamed = edges.join(a, "a").join(b, "b").filter("pa <> pb")
         shrunk = materialise(renamed.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
         if names is None:
-            names, old = hooked.select(F.col("u").alias("node"), F.col("p").alias("component")), []
+            names, old = at_path(hooked.select(F.col("u").alias("node"), F.col("p").alias("component")), vars(hooked)["_scratch_path"]), []
         else:
             to = hooked.select(F.col("u").alias("component"), F.col("p").alias("to"))
             new = materialise(names.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "names")

@@ -8,39 +8,45 @@ Anchors. Every window picks, of its ``GRAM``-word grams, the leftmost one with t
 Equal windows pick equal grams, so one row per run of windows with the same anchor (a *segment*) is
 enough: gram hash, segment hash, place. That is about one row per seven words.
 
-Index. A run has one row per gram hash: the first segment, its hash, and whether segments differ
-(``state``: 0 once, 1 repeated alike, 2 repeated and different). A run is sorted and bucketed by gram
-hash and never changed. A new batch is combined in each task, so that a gram of a third of all rows
+Index. A run has one row per gram hash: the first segment, its digest, and whether segments differ
+(``state``: 0 once, 1 repeated alike, 2 repeated and different). A run is sorted and bucketed by its
+key and never changed. A new batch is combined in each task, so that a gram of a third of all rows
 leaves a task as one row, becomes a run of its own, and is merge-joined with the older runs without
 a shuffle. When there are more than ``FAN`` runs they are compacted into one.
 
-Verification. Where all segments of a gram are equal, every one but the first goes as a whole; the
-comparison is of 128 bits (gram and segment). Where they differ, their windows are compared one by
-one by two independent 64-bit hashes; first places of such windows form a second set of runs.
+Verification. The hashes of grams are polynomials modulo 2**64, for which equal values of different
+words can be made up; they only name candidates. What is removed is decided by BLAKE2b digests of the words
+themselves (128 bits, for which nobody can do that). Where all segments of a gram have one digest, every one but the
+first goes as a whole. Where they differ (different grams of one hash do too), their windows are compared one by one by
+their own digests; first places of such windows form a second set of runs, sorted, merge-joined and compacted like the first.
 
 Bloom filters (bounded, 2**28 bits) name the grams that matter, so that only their rows leave the
 second scan of a batch; false positives cost rows and change nothing.
 
-Defined cases: null, empty and short texts have no window and lose nothing; rows that share an id or
-have none are documents of their own (see ``with_key``); an empty table gives an empty result.
+Defined cases: null, empty and short texts have no window and lose nothing; very long texts are hashed ``_SLICE`` words at
+once, windows over the borders included; of equal windows within a document the earliest stays; rows that share an id or
+have none are documents of their own (see ``with_key``); an empty table gives an empty result; columns of any name pass
+through.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlake.llm.common import arrow_rows, begin_work, drop_scratch, materialise, numbered_columns, release_shuffles, scratch, with_key
+from setlake.llm.common import arrow_rows, at_path, begin_work, drop_scratch, materialise, numbered_columns, release_shuffles, scratch, with_key
 
 WINDOW, GRAM = 20, 8
-#: Runs that the index keeps before it compacts them.
-FAN = 4
+#: Runs of a kind that the index keeps before it compacts them, and batches that a table is taken in.
+FAN, BATCHES = 2, 4
 #: Words hashed at once in a long text, and anchor rows that a task combines at once.
 _SLICE, _COMBINE = 1 << 16, 1 << 18
 #: Upper bound of a Bloom filter, in bits.
@@ -78,11 +84,11 @@ class _Rolling:
         return lambda start, stop: _mix((sums[stop] - sums[start]) * self.inverse[start])
 
 
-_FIRST, _SECOND = _Rolling(42), _Rolling(4242)
+_GRAMS = _Rolling(42)
 
 
 class Segments:
-    """Anchored segments of several documents: arrays gram, segment, key, lo, n, and the windows' hashes on demand.
+    """Anchored segments of several documents: arrays gram, key, lo, n, and digests of segments and windows on demand.
 
     ``parts`` are (key, words, number of the first of these words). The words lie behind each other in one
     array, so that small documents share the cost of a call; windows across their borders don't count.
@@ -92,11 +98,10 @@ class Segments:
         words = [w for _, part, _ in parts for w in part]
         sizes = np.array([len(part) for _, part, _ in parts], np.int64)
         document = np.repeat(np.arange(len(parts)), sizes)
-        self._data = np.frombuffer(b" ".join(words), np.uint8)
+        self._data = b" ".join(words)
         self._stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
         self._starts = np.concatenate([[0], self._stops[:-1] + 1])
-        self._hashes = _FIRST.stretches(self._data)
-        grams = self._hashes(self._starts[: len(words) - GRAM + 1], self._stops[GRAM - 1 :])
+        grams = _GRAMS.stretches(np.frombuffer(self._data, np.uint8))(self._starts[: len(words) - GRAM + 1], self._stops[GRAM - 1 :])
         least, at = grams[: len(words) - WINDOW + 1].copy(), np.zeros(len(words) - WINDOW + 1, np.int64)
         for k in range(1, WINDOW - GRAM + 1):
             other = grams[k : k + len(least)]
@@ -106,21 +111,25 @@ class Segments:
         anchor = whole + at[whole]
         cut = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (np.diff(whole) > 1), [True]])) if len(whole) else np.zeros(1, np.int64)
         self._lo, self.n = whole[cut[:-1]], np.diff(cut)
-        first = anchor[cut[:-1]]
-        self.gram = grams[first].view(np.int64)
-        shape = ((self.n << 8) + (first - self._lo)).astype(_U)
-        self.segment = _mix(self._hashes(self._starts[self._lo], self._stops[self._lo + self.n + WINDOW - 2]) ^ _mix(shape)).view(np.int64)
+        self.gram = grams[anchor[cut[:-1]]].view(np.int64)
         self.key = np.array([key for key, _, _ in parts], np.int64)[document[self._lo]]
         self._shift = (np.array([base for _, _, base in parts], np.int64) - np.cumsum(sizes) + sizes)[document[self._lo]]
         self.lo = self._lo + self._shift
 
+    def _digests(self, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Two rows: the digests of ``n`` words from word ``first`` on."""
+        data, spans = self._data, zip(self._starts[first].tolist(), self._stops[first + n - 1].tolist(), strict=True)
+        return np.frombuffer(b"".join([blake2b(data[a:b], digest_size=16).digest() for a, b in spans]), "<i8").reshape(-1, 2).T
+
+    def segments(self, which: np.ndarray) -> np.ndarray:
+        """Digests of the segments ``which``."""
+        return self._digests(self._lo[which], self.n[which] + WINDOW - 1)
+
     def windows(self, which: np.ndarray) -> np.ndarray:
-        """Rows (hash, second hash, key, start) of every window of the segments ``which``."""
+        """Rows (digest in two parts, key, start) of every window of the segments ``which``."""
         n = self.n[which]
         start = np.repeat(self._lo[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        ends = self._starts[start], self._stops[start + WINDOW - 1]
-        second = _SECOND.stretches(self._data)(*ends)
-        return np.stack([self._hashes(*ends).view(np.int64), second.view(np.int64), np.repeat(self.key[which], n), start + np.repeat(self._shift[which], n)])
+        return np.stack([*self._digests(start, np.full(len(start), WINDOW)), np.repeat(self.key[which], n), start + np.repeat(self._shift[which], n)])
 
 
 def segments(keys: list[int], texts: pa.Array) -> Iterator[Segments]:
@@ -140,19 +149,19 @@ def segments(keys: list[int], texts: pa.Array) -> Iterator[Segments]:
 
 
 def _combined(rows: np.ndarray) -> np.ndarray:
-    """One row per gram of rows (gram, segment, key, lo, state): the earliest place, and the state of all."""
-    rows = rows[:, np.lexsort((rows[3], rows[2], rows[0]))]
+    """One row per gram of rows (gram, s1, s2, key, lo, state): the earliest place, and the state of all."""
+    rows = rows[:, np.lexsort((rows[4], rows[3], rows[0]))]
     first = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
-    low, high = (f.reduceat(rows[1], first) for f in (np.minimum, np.maximum))
-    state = np.maximum(np.maximum.reduceat(rows[4], first), np.diff(np.append(first, rows.shape[1])) > 1)
+    low, high = (f.reduceat(rows[1:3], first, axis=1) for f in (np.minimum, np.maximum))
+    state = np.maximum(np.maximum.reduceat(rows[5], first), np.diff(np.append(first, rows.shape[1])) > 1)
     out = rows[:, first]
-    out[4] = np.where(low != high, 2, state)
+    out[5] = np.where((low != high).any(axis=0), 2, state)
     return out
 
 
 def _grams(docs: DataFrame) -> DataFrame:
-    """``docs`` (key, text as bytes) to rows gram, segment, key, lo, state, combined within each task."""
-    names = ["gram", "segment", "key", "lo", "state"]
+    """``docs`` (key, text as bytes) to rows gram, s1, s2 (digest of the segment), key, lo, state, combined within each task."""
+    names = ["gram", "s1", "s2", "key", "lo", "state"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin_work(__name__)
@@ -164,7 +173,7 @@ def _grams(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for s in segments(batch.column(0).to_pylist(), batch.column(1)):
-                held.append(np.stack([s.gram, s.segment, s.key, s.lo, np.zeros(len(s.lo), np.int64)]))
+                held.append(np.stack([s.gram, *s.segments(np.arange(len(s.lo))), s.key, s.lo, np.zeros(len(s.lo), np.int64)]))
                 size += len(s.lo)
                 if size >= _COMBINE:
                     yield out()
@@ -175,11 +184,17 @@ def _grams(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def _merged(rows: DataFrame) -> DataFrame:
-    """One row per gram of rows (gram, segment, key, lo, state)."""
-    all_ = rows.groupBy("gram").agg(F.min(F.struct("key", "lo", "segment")).alias("f"), F.max("state").alias("s"), F.min("segment").alias("a"), F.max("segment").alias("b"), F.count(F.lit(1)).alias("c"))
-    state = F.when((F.col("s") == 2) | (F.col("a") != F.col("b")), 2).when(F.col("c") > 1, 1).otherwise(F.col("s"))
-    return all_.select("gram", F.col("f.segment").alias("segment"), F.col("f.key").alias("key"), F.col("f.lo").alias("lo"), state.cast("long").alias("state"))
+def _merged_grams(rows: DataFrame) -> DataFrame:
+    """One row per gram of rows (gram, s1, s2, key, lo, state)."""
+    ends = [f(c).alias(f"{c}_{i}") for c in ("s1", "s2") for i, f in enumerate((F.min, F.max))]
+    all_ = rows.groupBy("gram").agg(F.min(F.struct("key", "lo", "s1", "s2")).alias("f"), F.max("state").alias("s"), F.count(F.lit(1)).alias("c"), *ends)
+    state = F.when((F.col("s") == 2) | (F.col("s1_0") != F.col("s1_1")) | (F.col("s2_0") != F.col("s2_1")), 2).when(F.col("c") > 1, 1).otherwise(F.col("s"))
+    return all_.select("gram", "f.s1", "f.s2", "f.key", "f.lo", state.cast("long").alias("state"))
+
+
+def _merged_windows(rows: DataFrame) -> DataFrame:
+    """The first place of each window of rows (h, h2, key, lo)."""
+    return rows.groupBy("h", "h2").agg(F.min(F.struct("key", "lo")).alias("f")).select("h", "h2", "f.key", "f.lo")
 
 
 def _bloom(keys: DataFrame) -> np.ndarray:
@@ -205,7 +220,7 @@ def _maybe(filled: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def _scan(docs: DataFrame, whole: np.ndarray | None, differ: np.ndarray, keys: np.ndarray | None = None) -> DataFrame:
     """``docs`` (key, text as bytes) to rows h, h2, key, lo, n of the grams that the filters name.
 
-    For a segment: gram, segment, first window, number of windows. For a window of a gram in ``differ``: its two hashes,
+    For a segment: gram, 0, first window, number of windows. For a window of a gram in ``differ``: its digest,
     its start, 0. ``keys`` restricts the documents.
     """
     names, shared = ["h", "h2", "key", "lo", "n"], docs.sparkSession.sparkContext.broadcast((whole, differ, keys))
@@ -219,7 +234,7 @@ def _scan(docs: DataFrame, whole: np.ndarray | None, differ: np.ndarray, keys: n
             for s in segments(batch.column(0).to_pylist(), batch.column(1)):
                 held = []
                 if whole is not None and len(at := np.flatnonzero(_maybe(whole, s.gram))):
-                    held.append(np.stack([s.gram[at], s.segment[at], s.key[at], s.lo[at], s.n[at]]))
+                    held.append(np.stack([s.gram[at], np.zeros(len(at), np.int64), s.key[at], s.lo[at], s.n[at]]))
                 if len(at := np.flatnonzero(_maybe(differ, s.gram))):
                     found = s.windows(at)
                     held.append(np.concatenate([found, np.zeros((1, found.shape[1]), np.int64)]))
@@ -229,46 +244,59 @@ def _scan(docs: DataFrame, whole: np.ndarray | None, differ: np.ndarray, keys: n
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-class FingerprintIndex:
-    """The runs of all batches so far. Batches must come in ascending order of keys."""
+class Runs:
+    """Sorted immutable runs of one kind, one row per key in each.
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None, fan: int = FAN) -> None:
-        self.spark, self.fan = spark, fan
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.runs: list[DataFrame] = []
-        self.window_runs: list[DataFrame] = []
-        self._names: dict[int, str] = {}
-
-    def _write_run(self, rows: DataFrame) -> DataFrame:
-        """One row per gram, a file a bucket, sorted: later joins on gram need no exchange."""
+    A run is a table bucketed and sorted by its keys, so that later joins on them need neither an exchange nor a sort.
+    """
+
+    def __init__(self, spark: SparkSession, keys: list[str], merge: Callable[[DataFrame], DataFrame], buckets: int, fan: int) -> None:
+        self.spark, self.keys, self.merge, self.buckets, self.fan = spark, keys, merge, buckets, fan
+        self.tables: dict[str, DataFrame] = {}
+
+    def write(self, rows: DataFrame) -> DataFrame:
+        """A new run of ``rows``, which is among the others from now on."""
         path = scratch(self.spark, "run")
         name = "run_" + path.rsplit("-", 1)[1]
-        merged = _merged(rows.repartition(self.buckets, "gram")).sortWithinPartitions("gram")
-        merged.write.bucketBy(self.buckets, "gram").sortBy("gram").option("path", path).saveAsTable(name)
-        run = self.spark.table(name)
-        self._names[id(run)] = name
-        return run
+        merged = self.merge(rows.repartition(self.buckets, *self.keys)).sortWithinPartitions(*self.keys)
+        merged.write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", path).saveAsTable(name)
+        self.tables[name] = at_path(self.spark.table(name), path)
+        return self.tables[name]
+
+    def beside(self, run: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """``run`` with the rows of the same keys of all other runs, merge-joined, and the columns that hold them as structs."""
+        old = [t for t in self.tables.values() if t is not run]
+        values = [c for c in run.columns if c not in self.keys]
+        for k, table in enumerate(old):
+            run = run.join(table.select(*self.keys, F.struct(*values).alias(f"r{k}")).hint("merge"), self.keys, "left")
+        return run, [F.col(f"r{k}") for k in range(len(old))]
 
     def compact(self) -> None:
-        """Merge all runs into one."""
-        old = self.runs
-        union = old[0]
-        for run in old[1:]:
-            union = union.unionByName(run)
-        self.runs = [self._write_run(union)]
-        self._drop(old)
-
-    def _drop(self, runs: list[DataFrame]) -> None:
-        for run in runs:
-            name = self._names.pop(id(run))
-            drop_scratch(self.spark, run)
+        """Merge all runs into one if there are more than ``fan``."""
+        old = dict(self.tables)
+        if len(old) > self.fan:
+            self.write(reduce(DataFrame.unionByName, old.values()))
+            self.drop(old)
+
+    def drop(self, names: Iterable[str]) -> None:
+        for name in list(names):
+            drop_scratch(self.spark, self.tables.pop(name))
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
+
+class FingerprintIndex:
+    """The runs of all batches so far: of grams, and of windows whose grams differ. Batches must come in ascending order of keys."""
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None, fan: int = FAN) -> None:
+        self.spark = spark
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.grams = Runs(spark, ["gram"], _merged_grams, buckets, fan)
+        self.windows = Runs(spark, ["h", "h2"], _merged_windows, buckets, fan)
+
     def close(self) -> None:
         """Delete all runs."""
-        self._drop(self.runs)
-        drop_scratch(self.spark, *self.window_runs)
-        self.runs, self.window_runs = [], []
+        for runs in (self.grams, self.windows):
+            runs.drop(runs.tables)
 
     def add(self, docs: DataFrame, earlier: DataFrame | None) -> DataFrame:
         """Index a batch (``_key``, ``_text`` as bytes) and return what to remove of it: rows key, lo, n (n windows from word lo on).
@@ -276,55 +304,34 @@ class FingerprintIndex:
         ``earlier`` are the documents of all batches before; those of grams that this batch makes differ are scanned again.
         """
         spark = self.spark
-        run = self._write_run(_grams(docs))
+        seen, olds = self.grams.beside(self.grams.write(_grams(docs)))
         release_shuffles(spark)
-        now = run.select("gram", "segment", "key", "lo", "state")
-        seen = now
-        for k, old in enumerate(self.runs):
-            seen = seen.join(old.select("gram", F.struct("key", "lo", "segment", "state").alias(f"r{k}")).hint("merge"), "gram", "left")
-        olds = [F.col(f"r{k}") for k in range(len(self.runs))]
-        here = F.struct("key", "lo", "segment", "state")
-        first = F.least(here, *olds) if olds else here  # least() passes over nulls
-        differs = F.col("state") == 2
-        known = F.lit(False)
-        was = F.lit(False)
-        for k, old in enumerate(olds):
-            differs = differs | F.coalesce((old["state"] == 2) | (old["segment"] != F.col("segment")), F.lit(False))
-            was = was | F.coalesce(old["state"] == 2, F.lit(False))
-            known = known | old.isNotNull()
-            for other in olds[:k]:
-                was = was | F.coalesce(old["segment"] != other["segment"], F.lit(False))
-        facts = materialise(
-            seen.filter((F.col("state") > 0) | known).select("gram", first.alias("f"), differs.alias("differs"), (differs & known & ~was).alias("new")).select("gram", F.col("f.key").alias("fkey"), F.col("f.lo").alias("flo"), "differs", "new"), "facts"
-        )
+        other = lambda a, b: F.coalesce((a["s1"] != b["s1"]) | (a["s2"] != b["s2"]), F.lit(False))
+        here = F.struct("s1", "s2", "key", "lo", "state")
+        places = [F.when(x.isNotNull(), F.struct(x["key"].alias("key"), x["lo"].alias("lo"))) for x in (here, *olds)]
+        first = F.least(*places) if olds else places[0]  # least() passes over nulls
+        was = reduce(Column.__or__, [F.coalesce(x["state"] == 2, F.lit(False)) | reduce(Column.__or__, [other(x, y) for y in olds[:k]], F.lit(False)) for k, x in enumerate(olds)], F.lit(False))
+        known = reduce(Column.__or__, [x.isNotNull() for x in olds], F.lit(False))
+        differs = (F.col("state") == 2) | was | reduce(Column.__or__, [other(x, here) for x in olds], F.lit(False))
+        named = seen.filter((F.col("state") > 0) | known).select("gram", first.alias("f"), differs.alias("differs"), (differs & known & ~was).alias("new"))
+        facts = materialise(named.select("gram", F.col("f.key").alias("fkey"), F.col("f.lo").alias("flo"), "differs", "new"), "facts")
         differ = _bloom(facts.filter("differs").select("gram"))
         found = materialise(_scan(docs, _bloom(facts.select("gram")), differ), "found")
         windows = found.filter("n = 0").select("h", "h2", "key", "lo")
-        extra = None
-        if earlier is not None and facts.filter("new").limit(1).count():
+        every, new = windows, facts.filter("new")
+        if earlier is not None and new.limit(1).count():
             # all earlier segments of such a gram are alike, so the document of the first one has all its windows
-            new = facts.filter("new")
             extra = _scan(earlier, None, _bloom(new.select("gram")), _bloom(new.select("fkey").distinct())).select("h", "h2", "key", "lo")
-        starts = (windows.unionByName(extra) if extra is not None else windows).groupBy("h", "h2").agg(F.min(F.struct("key", "lo")).alias("f"))
-        for old in self.window_runs:
-            before = old.select("h", "h2", F.col("f").alias("o"))
-            starts = starts.join(before, ["h", "h2"], "left").select("h", "h2", F.least("f", "o").alias("f"))
-        starts = materialise(starts, "window-run")
+            every = windows.unionByName(extra)
+        met, olds = self.windows.beside(self.windows.write(every))
+        here = F.struct("key", "lo")
+        starts = materialise(met.select("h", "h2", F.least(here, *olds).alias("f") if olds else here.alias("f")), "starts")
         whole = found.filter("n > 0").join(facts.withColumnRenamed("gram", "h"), "h").filter("NOT differs AND (key <> fkey OR lo <> flo)").select("key", "lo", "n")
-        single = windows.join(starts, ["h", "h2"]).filter(F.struct("key", "lo") != F.col("f")).select("key", "lo", F.lit(1).cast("long").alias("n"))
+        single = windows.join(starts, ["h", "h2"]).filter(here != F.col("f")).select("key", "lo", F.lit(1).cast("long").alias("n"))
         gone = materialise(whole.unionByName(single), "gone")
-        self.runs.append(run)
-        self.window_runs.append(starts)
-        if len(self.runs) > self.fan:
-            self.compact()
-        if len(self.window_runs) > self.fan:
-            union = self.window_runs[0]
-            for old in self.window_runs[1:]:
-                union = union.unionByName(old)
-            merged, old = materialise(union.groupBy("h", "h2").agg(F.min("f").alias("f")), "window-run"), self.window_runs
-            drop_scratch(spark, *old)
-            self.window_runs = [merged]
-        drop_scratch(spark, found, facts)
+        for runs in (self.grams, self.windows):
+            runs.compact()
+        drop_scratch(spark, found, facts, starts)
         release_shuffles(spark)
         return gone
 
@@ -363,7 +370,7 @@ def _with_removals(df: DataFrame, batches: int, id_col: str, text_col: str) -> I
     index.close()
 
 
-def repeated_words(df: DataFrame, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_words(df: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, n_words, n_removed, kept_sha256."""
 
     def rows(ids: list, texts: list, gone: list) -> dict:
@@ -379,7 +386,7 @@ def repeated_words(df: DataFrame, batches: int = 2, id_col: str = "doc_id", text
     return out
 
 
-def drop_repeats(df: DataFrame, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(df: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with repeated passages taken out of its texts (kept words joined by one space); unrepeated texts stay as they are."""
     @F.pandas_udf("string")
     def clean(texts: pd.Series, gone: pd.Series) -> pd.Series:
