@@ -148,7 +148,7 @@ def place(cutting: DataFrame, capacity: int) -> DataFrame:
     slots = _slots(plan_packing(histogram, capacity), capacity)
     before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_block")) - F.col("_n")).drop("_n")
     rank = F.row_number().over(Window.partitionBy("length", "_block").orderBy("_row")) - 1
-    ranked = blocked.withColumn("_rank", rank).join(before, ["length", "_block"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
+    ranked = blocked.withColumn("_rank", rank).join(before.hint("merge"), ["length", "_block"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
     names = [c for c in cutting.columns if c != "_row"]
     shared = cutting.sparkSession.sparkContext.broadcast(slots)
     fields = ", ".join(f"`{n}` {t}" for n, t in cutting.dtypes if n != "_row") + ", sequence_id long, offset long"
