@@ -11,7 +11,7 @@ Files are written under a name of the attempt and then moved, so a task that run
 file. They go to the given folder on any file system that ``pyarrow.fs`` opens by URI.
 
 Defined cases: null and empty texts are documents of one id; a very long text runs over as many sequences and record batches as it
-needs; null ids come first; rows that share an id are documents of their own, in the order of their texts (null first);
+needs; null ids come first; rows that share an id are documents of their own, in an order that their texts alone decide;
 an empty table makes no file; only the two named columns are read, so other columns may have any name.
 """
 
@@ -119,7 +119,8 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, length: int = 2048,
             yield pa.RecordBatch.from_pydict({"shard": [context.partitionId()], "n_docs": [writer.docs], "n_tokens": [writer.tokens]})
 
     ids = F.col(id_col).cast("long")
-    ordered = df.select(ids.alias("i"), F.col(text_col).alias("t")).repartitionByRange(F.col("i").asc_nulls_first()).sortWithinPartitions(F.col("i").asc_nulls_first(), F.col("t").asc_nulls_first())
+    order = [F.col("i").asc_nulls_first(), F.xxhash64("t")]  # the hash deals out the rows of one id
+    ordered = df.select(ids.alias("i"), F.col(text_col).alias("t")).repartitionByRange(*order).sortWithinPartitions(*order, F.col("t").asc_nulls_first())
     shards, start = [], 0
     for r in sorted(ordered.mapInArrow(run, "shard long, n_docs long, n_tokens long").collect()):
         shards.append((*r, start))

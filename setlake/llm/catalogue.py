@@ -58,6 +58,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
 
+def secret_base_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the secret scan that SQL can express: those of the base kinds."""
+    return op9_secret_scan(spark, sf_dir).drop("spans")
+
+
 def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables hold no images, so each vector is drawn as one."""
     images = media.render_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -65,11 +70,38 @@ def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_media_copies)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_media_copies, secret_base_kinds)}
+
+
+#: The base kinds of secrets in RE2's syntax, letters of credential words in either case.
+_WORD = "(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+_ASSIGN = _WORD + r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SPANS = " UNION ALL ".join(
+    f"""SELECT doc_id, '{kind}' AS kind, {i} AS ord, ms[i] AS m, list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM d), unnest(range(1, len(ms) + 1)) AS r(i)"""
+    for i, (kind, pattern) in enumerate((("assign", _ASSIGN), ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]{16,}")))
+)
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": r"""
+            WITH s AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+            ln AS (SELECT doc_id, p AS line, ls[p] AS t FROM s, unnest(range(1, len(ls) + 1)) AS r(p)),
+            k AS (SELECT doc_id, line, ws, len(ws) AS n, array_to_string(ws, ' ') AS f, {'d': doc_id, 'l': line} AS at
+                  FROM (SELECT doc_id, line, regexp_extract_all(t, '[^\x20\x09\x0B\x0C\x0D]+') AS ws FROM ln) WHERE len(ws) > 0),
+            fulls AS (SELECT f, min(at) AS first FROM k GROUP BY f),
+            v AS (SELECT at, n, p, array_to_string(list_concat(ws[:p - 1], ws[p + 1:]), ' ') AS rest FROM k, unnest(range(1, n + 1)) AS r(p) WHERE n >= 4),
+            gaps AS (SELECT n, p, rest, min(at) AS first FROM v GROUP BY n, p, rest),
+            longer AS (SELECT rest, min(at) AS first FROM v GROUP BY rest),
+            late AS (SELECT at FROM k JOIN fulls USING (f) WHERE at > first
+                     UNION SELECT v.at FROM v JOIN gaps g USING (n, p, rest) WHERE n >= 5 AND v.at > g.first
+                     UNION SELECT v.at FROM v JOIN fulls ON fulls.f = v.rest WHERE v.n >= 5 AND v.at > fulls.first
+                     UNION SELECT k.at FROM k JOIN longer ON longer.rest = k.f WHERE k.n >= 5 AND k.at > longer.first),
+            gone AS (SELECT at.d AS doc_id, list(at.l) AS ps FROM late GROUP BY 1)
+            SELECT doc_id, CASE WHEN text = '' THEN 0 ELSE len(ls) END AS n_lines, coalesce(len(ps), 0) AS n_removed,
+                   sha256(array_to_string(CASE WHEN ps IS NULL THEN ls ELSE list_filter(ls, lambda x, i: NOT list_contains(ps, i)) END, chr(10))) AS kept_sha256
+            FROM s LEFT JOIN gone USING (doc_id)""",
         "op2_substring_dedup": r"""
             WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
             win AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS k FROM w, unnest(range(1, len(ws) - 18)) AS t(s)),
@@ -78,6 +110,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
                    sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
             FROM w LEFT JOIN gone USING (doc_id)""",
+        "secret_base_kinds": f"""
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS ({_SPANS}),
+            kept AS (SELECT * FROM s WHERE kind = 'hex' OR (kind = 'access' AND length(m) >= 18) OR (kind = 'assign' AND length(regexp_extract(m, '^{_ASSIGN}$', 1)) >= 12)),
+            c AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(m) AS BIGINT), ',' ORDER BY start, ord) AS spans FROM kept GROUP BY doc_id)
+            SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256
+            FROM d LEFT JOIN c USING (doc_id)""",
         "op8_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256

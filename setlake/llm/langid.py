@@ -5,8 +5,8 @@ by a space). A text's own profile is compared to each language's by the out-of-p
 sum over its n-grams of the difference in rank, a fixed penalty standing for n-grams that the
 language's profile lacks. The nearest language wins.
 
-Profiles are learned from labelled rows, at most about ``rows_per_language`` of each language, taken
-by a hash of the id: a bound that is a parameter. Whole texts are read in training and prediction.
+Profiles are learned from labelled rows of the ``languages`` most frequent labels, at most about ``rows_per_language`` of each, taken
+by a hash of the id: bounds that are parameters. Whole texts are read in training and prediction.
 
 Defined cases: a null text or one without a letter (Unicode class L) is ``und`` with score 0; null labels teach
 nothing; with no labelled row at all, as in an empty table, every text is ``und``; ties of distance go to the language first in
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from setlake.llm.common import arrow_rows, begin_work
 
-#: Length of a profile, and labelled rows that each language may learn from.
-PROFILE, ROWS_PER_LANGUAGE = 400, 20_000
+#: Length of a profile, labelled rows that each language may learn from, and languages that are learned (the most frequent labels).
+PROFILE, ROWS_PER_LANGUAGE, LANGUAGES = 400, 20_000, 1000
 #: Code points of a text counted at once, which bounds the memory of very long texts.
 _SLICE = 1 << 18
 #: A word: letters and the marks on them; numerals of any kind are no letters.
@@ -64,15 +64,17 @@ def ranked(grams: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
     return grams[np.lexsort((grams, -counts))][:n]
 
 
-def learn(df: DataFrame, teach: Column, profile: int = PROFILE, rows_per_language: int = ROWS_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
+def learn(df: DataFrame, teach: Column, profile: int = PROFILE, rows_per_language: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
     """A profile for each label among the rows where ``teach`` holds.
 
     The driver gets ``profile`` n-grams a language, whatever the size of the corpus.
     """
     labelled = df.filter(teach & F.col(lang_col).isNotNull())
-    sizes = {r[lang_col]: r["count"] for r in labelled.groupBy(lang_col).count().collect()}
+    often = labelled.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(languages)
+    sizes = {r[lang_col]: r["count"] for r in often.collect()}
     if not sizes:
         return {}
+    labelled = labelled.filter(F.col(lang_col).isin(list(sizes)))
     share = F.lit(1.0)
     for lang, n in sizes.items():
         share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, rows_per_language / n))).otherwise(share)
