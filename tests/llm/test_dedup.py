@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from setlake.llm import exact_dedup, line_dedup, simhash, substring_dedup
 from setlake.llm.components import components
@@ -222,10 +224,42 @@ def test_substrings_odd_rows(odd, empty):
     assert substring_dedup.repeated_words(empty).count() == 0
 
 
-def test_rolling_hash_depends_on_content_alone():
-    a, b = (np.frombuffer(x, np.uint8) for x in (b"xx hello world", b"hello world yy"))
-    span = lambda d, s, e: substring_dedup._FIRST.stretches(d)(np.array([s]), np.array([e]))[0]
-    assert span(a, 3, 14) == span(b, 0, 11) != span(a, 3, 13)
+def thue_morse(n: int, flip: bool = False) -> str:
+    return "".join("ab"[(i.bit_count() & 1) ^ flip] for i in range(n))
+
+
+@pytest.mark.parametrize("batches", [1, 2])
+def test_made_up_collisions_remove_nothing(spark, batches):
+    """A Thue-Morse word and its complement have equal polynomials modulo 2**64, whatever the base; so have the windows around them."""
+    tail = " ".join(f"w{i}" for i in range(19))
+    words = [thue_morse(1024), thue_morse(1024, True)]
+    grams = [substring_dedup._GRAMS.stretches(np.frombuffer(f"{w} {tail}".encode(), np.uint8)) for w in words]
+    assert len({int(g(np.array([0]), np.array([1024 + 1 + len(tail)]))[0]) for g in grams}) == 1
+    df = spark.createDataFrame([(i, f"{w} {tail}") for i, w in enumerate(words)] + [(2, f"{words[1]} {tail} x")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring_dedup.repeated_words(df, batches).collect()} == {0: 0, 1: 0, 2: 20}
+
+
+@pytest.mark.parametrize("fan", [1, 2, 9])
+def test_index_compacts(spark, docs, rows, fan):
+    index = substring_dedup.FingerprintIndex(spark, 3, fan)
+    sizes = []
+    for part in range(4):
+        batch = docs.filter((F.col("doc_id") >= 15 * part) & (F.col("doc_id") < 15 * (part + 1))).select("doc_id", F.col("text").cast("binary"))
+        index.add(batch, docs.filter(F.col("doc_id") < 15 * part).select("doc_id", F.col("text").cast("binary")) if part else None)
+        sizes.append((len(index.grams.tables), len(index.windows.tables)))
+    assert sizes == [(1, 1), *{1: [(1, 1)] * 3, 2: [(2, 2), (1, 1), (2, 2)], 9: [(2, 2), (3, 3), (4, 4)]}[fan]]
+    met, _ = index.grams.beside(next(iter(index.grams.tables.values())))
+    assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+    index.close()
+    assert not index.grams.tables and not spark.sql("SHOW TABLES").filter("tableName LIKE 'run_%'").count()
+
+
+def test_many_lines_of_one_text(spark):
+    """Time grows with the lines, not with lines times removed lines."""
+    text = "\n".join(["one two three four five"] * 30_000 + [f"own line number {i} here" for i in range(30_000)])
+    began = time.monotonic()
+    got = line_dedup.repeated_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert got[0].n_lines == 60_000 and got[0].n_removed >= 59_998 and time.monotonic() - began < 60
 
 
 def test_docs_schema_is_that_of_the_tables(spark, sf_dir):
