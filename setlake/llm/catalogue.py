@@ -88,17 +88,17 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": r"""
             WITH s AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
             ln AS (SELECT doc_id, p AS line, ls[p] AS t FROM s, unnest(range(1, len(ls) + 1)) AS r(p)),
-            k AS (SELECT doc_id, line, ws, len(ws) AS n, array_to_string(ws, ' ') AS f, {'d': doc_id, 'l': line} AS at
+            k AS (SELECT doc_id, line, ws, len(ws) AS n, array_to_string(ws, ' ') AS f, {'d': doc_id, 'l': line} AS spot
                   FROM (SELECT doc_id, line, regexp_extract_all(t, '[^\x20\x09\x0B\x0C\x0D]+') AS ws FROM ln) WHERE len(ws) > 0),
-            fulls AS (SELECT f, min(at) AS first FROM k GROUP BY f),
-            v AS (SELECT at, n, p, array_to_string(list_concat(ws[:p - 1], ws[p + 1:]), ' ') AS rest FROM k, unnest(range(1, n + 1)) AS r(p) WHERE n >= 4),
-            gaps AS (SELECT n, p, rest, min(at) AS first FROM v GROUP BY n, p, rest),
-            longer AS (SELECT rest, min(at) AS first FROM v GROUP BY rest),
-            late AS (SELECT at FROM k JOIN fulls USING (f) WHERE at > first
-                     UNION SELECT v.at FROM v JOIN gaps g USING (n, p, rest) WHERE n >= 5 AND v.at > g.first
-                     UNION SELECT v.at FROM v JOIN fulls ON fulls.f = v.rest WHERE v.n >= 5 AND v.at > fulls.first
-                     UNION SELECT k.at FROM k JOIN longer ON longer.rest = k.f WHERE k.n >= 5 AND k.at > longer.first),
-            gone AS (SELECT at.d AS doc_id, list(at.l) AS ps FROM late GROUP BY 1)
+            fulls AS (SELECT f, min(spot) AS earliest FROM k GROUP BY f),
+            v AS (SELECT spot, n, p, array_to_string(list_concat(ws[:p - 1], ws[p + 1:]), ' ') AS rest FROM k, unnest(range(1, n + 1)) AS r(p) WHERE n >= 4),
+            gaps AS (SELECT n, p, rest, min(spot) AS earliest FROM v GROUP BY n, p, rest),
+            longer AS (SELECT rest, min(spot) AS earliest FROM v GROUP BY rest),
+            late AS (SELECT spot FROM k JOIN fulls USING (f) WHERE spot > earliest
+                     UNION SELECT v.spot FROM v JOIN gaps g USING (n, p, rest) WHERE n >= 5 AND v.spot > g.earliest
+                     UNION SELECT v.spot FROM v JOIN fulls ON fulls.f = v.rest WHERE v.n >= 5 AND v.spot > fulls.earliest
+                     UNION SELECT k.spot FROM k JOIN longer ON longer.rest = k.f WHERE k.n >= 5 AND k.spot > longer.earliest),
+            gone AS (SELECT spot.d AS doc_id, list(spot.l) AS ps FROM late GROUP BY 1)
             SELECT doc_id, CASE WHEN text = '' THEN 0 ELSE len(ls) END AS n_lines, coalesce(len(ps), 0) AS n_removed,
                    sha256(array_to_string(CASE WHEN ps IS NULL THEN ls ELSE list_filter(ls, lambda x, i: NOT list_contains(ps, i)) END, chr(10))) AS kept_sha256
             FROM s LEFT JOIN gone USING (doc_id)""",
