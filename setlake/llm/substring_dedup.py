@@ -12,7 +12,7 @@ Index. A run has one row per gram hash: the first segment, its digest, and wheth
 (``state``: 0 once, 1 repeated alike, 2 repeated and different). A run is sorted and bucketed by its
 key and never changed. A new batch is combined in each task, so that a gram of a third of all rows
 leaves a task as one row, becomes a run of its own, and is merge-joined with the older runs without
-a shuffle. When there are more than ``FAN`` runs they are compacted into one.
+a shuffle. Where there are ``FAN`` runs already they are compacted into one first.
 
 Verification. The hashes of grams are polynomials modulo 2**64, for which equal values of different
 words can be made up; they only name candidates. What is removed is decided by BLAKE2b digests of the words
@@ -46,7 +46,7 @@ from setlake.llm.common import arrow_rows, at_path, begin_work, drop_scratch, ma
 
 WINDOW, GRAM = 20, 8
 #: Runs of a kind that the index keeps before it compacts them, and batches that a table is taken in.
-FAN, BATCHES = 2, 4
+FAN, BATCHES = 2, 3
 #: Words hashed at once in a long text, and anchor rows that a task combines at once.
 _SLICE, _COMBINE = 1 << 16, 1 << 18
 #: Upper bound of a Bloom filter, in bits.
@@ -272,9 +272,9 @@ class Runs:
         return run, [F.col(f"r{k}") for k in range(len(old))]
 
     def compact(self) -> None:
-        """Merge all runs into one if there are more than ``fan``."""
+        """Merge all runs into one if there are ``fan`` of them."""
         old = dict(self.tables)
-        if len(old) > self.fan:
+        if len(old) >= max(self.fan, 2):
             self.write(reduce(DataFrame.unionByName, old.values()))
             self.drop(old)
 
@@ -304,6 +304,8 @@ class FingerprintIndex:
         ``earlier`` are the documents of all batches before; those of grams that this batch makes differ are scanned again.
         """
         spark = self.spark
+        for runs in (self.grams, self.windows):
+            runs.compact()
         seen, olds = self.grams.beside(self.grams.write(_grams(docs)))
         release_shuffles(spark)
         other = lambda a, b: F.coalesce((a["s1"] != b["s1"]) | (a["s2"] != b["s2"]), F.lit(False))
@@ -329,8 +331,6 @@ class FingerprintIndex:
         whole = found.filter("n > 0").join(facts.withColumnRenamed("gram", "h"), "h").filter("NOT differs AND (key <> fkey OR lo <> flo)").select("key", "lo", "n")
         single = windows.join(starts, ["h", "h2"]).filter(here != F.col("f")).select("key", "lo", F.lit(1).cast("long").alias("n"))
         gone = materialise(whole.unionByName(single), "gone")
-        for runs in (self.grams, self.windows):
-            runs.compact()
         drop_scratch(spark, found, facts, starts)
         release_shuffles(spark)
         return gone
