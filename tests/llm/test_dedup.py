@@ -245,7 +245,7 @@ def test_index_compacts(spark, docs):
         batch = docs.filter((F.col("doc_id") >= 15 * part) & (F.col("doc_id") < 15 * (part + 1))).select("doc_id", F.col("text").cast("binary"))
         index.add(batch, docs.filter(F.col("doc_id") < 15 * part).select("doc_id", F.col("text").cast("binary")) if part else None)
         sizes.append((len(index.grams.tables), len(index.windows.tables)))
-    assert sizes == [(1, 1), (2, 2), (1, 1), (2, 2)]
+    assert sizes == [(1, 1), (2, 2), (2, 2), (2, 2)]  # the third batch meets one run that was two
     met, _ = index.grams.beside(next(iter(index.grams.tables.values())))
     assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
     index.close()
