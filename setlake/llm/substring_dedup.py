@@ -35,6 +35,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -197,9 +198,27 @@ def _merged_windows(rows: DataFrame) -> DataFrame:
     return rows.groupBy("h", "h2").agg(F.min(F.struct("key", "lo")).alias("f")).select("h", "h2", "f.key", "f.lo")
 
 
-def _bloom(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter (two bits a key, 16 bits of space a key, MAX_BITS at most) over a long column, built by bitmap aggregates."""
-    n = keys.count()
+def _earliest(windows: DataFrame) -> DataFrame:
+    """Rows h, h2, key, lo with one row per window of each ``_COMBINE`` rows of a task, so that a window of a third of all rows is few before it is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(np.stack([c.to_numpy() for c in batch.columns]))
+                size += batch.num_rows
+            if size and (batch is None or size >= _COMBINE):
+                rows = np.concatenate(held, axis=1)
+                rows = rows[:, np.lexsort(rows[::-1])]
+                rows = rows[:, np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)])]
+                yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["h", "h2", "key", "lo"])
+                held, size = [], 0
+
+    return windows.mapInArrow(run, "h long, h2 long, key long, lo long")
+
+
+def _bloom(keys: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter (two bits a key, 16 bits of space a key, MAX_BITS at most) over a long column of about ``n`` keys, built by bitmap aggregates."""
     bits = min(MAX_BITS, max(1 << 15, 1 << (16 * n).bit_length()))
     filled = np.zeros(bits // 8, np.uint8)
     if n:
@@ -317,15 +336,16 @@ class FingerprintIndex:
         differs = (F.col("state") == 2) | was | reduce(Column.__or__, [other(x, here) for x in olds], F.lit(False))
         named = seen.filter((F.col("state") > 0) | known).select("gram", first.alias("f"), differs.alias("differs"), (differs & known & ~was).alias("new"))
         facts = materialise(named.select("gram", F.col("f.key").alias("fkey"), F.col("f.lo").alias("flo"), "differs", "new"), "facts")
-        differ = _bloom(facts.filter("differs").select("gram"))
-        found = materialise(_scan(docs, _bloom(facts.select("gram")), differ), "found")
+        n = facts.agg(F.count(F.lit(1)).alias("all"), F.count_if("differs").alias("differs"), F.count_if("new").alias("new")).first()
+        differ = _bloom(facts.filter("differs").select("gram"), n["differs"])
+        found = materialise(_scan(docs, _bloom(facts.select("gram"), n["all"]), differ), "found")
         windows = found.filter("n = 0").select("h", "h2", "key", "lo")
         every, new = windows, facts.filter("new")
-        if earlier is not None and new.limit(1).count():
+        if earlier is not None and n["new"]:
             # all earlier segments of such a gram are alike, so the document of the first one has all its windows
-            extra = _scan(earlier, None, _bloom(new.select("gram")), _bloom(new.select("fkey").distinct())).select("h", "h2", "key", "lo")
+            extra = _scan(earlier, None, _bloom(new.select("gram"), n["new"]), _bloom(new.select("fkey").distinct(), n["new"])).select("h", "h2", "key", "lo")
             every = windows.unionByName(extra)
-        met, olds = self.windows.beside(self.windows.write(every))
+        met, olds = self.windows.beside(self.windows.write(_earliest(every)))
         here = F.struct("key", "lo")
         starts = materialise(met.select("h", "h2", F.least(here, *olds).alias("f") if olds else here.alias("f")), "starts")
         whole = found.filter("n > 0").join(facts.withColumnRenamed("gram", "h"), "h").filter("NOT differs AND (key <> fkey OR lo <> flo)").select("key", "lo", "n")

@@ -428,6 +428,17 @@ def test_recall_of_copies(spark):
         assert sum(got[k * n + i] == i for i in known) >= 0.9 * len(known) >= 0.8 * n, name
 
 
+def test_drawn_vectors(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(6, 64))
+    vectors = [*base, *(base + rng.normal(scale=0.05, size=base.shape))]
+    odd = [None, [], [0.0] * 64, [float("nan"), float("inf")] * 32]
+    rows = [(i, None if v is None else [float(x) for x in v]) for i, v in enumerate([*vectors, *odd])]
+    images = media.render_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = {r.image_id: (r.class_id, r.n_features) for r in media.copy_classes(images).collect()}
+    assert [got[i][0] for i in range(12)] == [*range(6), *range(6)] and got[12] == got[13] == (12, 0) and got[14] == (14, 0) and got[15][0] == 15
+
+
 def turned(image: np.ndarray, degrees: float) -> np.ndarray:
     """Turned about its middle with bilinear resampling, on grey."""
     a, (h, w) = np.deg2rad(degrees), image.shape
