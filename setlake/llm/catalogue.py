@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from setlake.llm import arrow_files, bpe, exact_dedup, langid, line_dedup, media, packing, secrets, simhash, substring_dedup
+from setlake.llm import arrow_files, bpe, exact_dedup, langid, line_dedup, media, mixing, packing, secrets, simhash, spelling, substring_dedup
 
 #: Vocabulary files; any files of the same kinds can be given to the operators.
 TOKENIZER_JSON, TOKENIZER_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
@@ -69,8 +70,16 @@ def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.copy_classes(images)
 
 
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.copies(_documents(spark, sf_dir)).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir), thin=199)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_media_copies, secret_base_kinds)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_media_copies, op12_source_mix, op13_spelling_variants, secret_base_kinds)}
 
 
 #: The base kinds of secrets in RE2's syntax, letters of credential words in either case.

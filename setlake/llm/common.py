@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,24 @@ def with_key(df: DataFrame, id_col: str, text_col: str, name: str = "keyed") ->
     return materialise(ranged.withColumn("_key", F.monotonically_increasing_id()), name), False
 
 
+def running_sums(df: DataFrame, by: list[str], order: list[Column], values: list[str], name: str = "running") -> DataFrame:
+    """``df`` with ``before_<v>`` for each of ``values``: the sum of that column over the rows before, in ``order``, within a group.
+
+    Rows are sorted by range into a shared table, so no task holds a group: sums within a stretch come from a window over it, and the stretches' own
+    sums (one row per group and stretch) give what came before. Rows that tie in ``order`` follow each other in any way.
+    """
+    keys = [F.col(c).asc_nulls_last() for c in by] + order
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id())
+    rows = materialise(ranged, name).withColumn("_part", F.shiftright("_row", 33))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*by, "_part").agg(*[F.sum(v).alias(v) for v in values])
+    starts = sums.select(*by, "_part", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_start_{v}") for v in values])
+    within = Window.partitionBy(*by, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select("*", *[F.coalesce(F.sum(v).over(within), F.lit(0)).alias(f"_within_{v}") for v in values])
+    added = [(F.col(f"_start_{v}") + F.col(f"_within_{v}")).alias(f"before_{v}") for v in values]
+    return rows.join(starts, [*by, "_part"]).select(*df.columns, *added)
+
+
 def arrow_rows(df: DataFrame, fn: Callable[..., dict], schema: str, rows: int = 256) -> DataFrame:
     """``mapInArrow`` over slices of at most ``rows`` rows.
 
