@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlake.llm import arrow_files, bpe, exact_dedup, langid, line_dedup, media, mixing, packing, secrets, simhash, spelling, substring_dedup
+from setlake.llm import arrow_files, bpe, collocations, exact_dedup, langid, line_dedup, media, mixing, packing, secrets, simhash, spelling, substring_dedup
 
 #: Vocabulary files; any files of the same kinds can be given to the operators.
 TOKENIZER_JSON, TOKENIZER_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
@@ -70,6 +70,10 @@ def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.copy_classes(images)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(_documents(spark, sf_dir))
+
+
 def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(_documents(spark, sf_dir)).withColumn("taken", F.col("copies") * F.col("size"))
 
@@ -79,7 +83,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_media_copies, op12_source_mix, op13_spelling_variants, secret_base_kinds)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_simhash, op4_best_fit_packing, op5_byte_bpe, op6_token_files, op7_language_id, op8_exact_dedup, op9_secret_scan, op10_media_copies, op11_collocations, op12_source_mix, op13_spelling_variants, secret_base_kinds)}
 
 
 #: The base kinds of secrets in RE2's syntax, letters of credential words in either case.
@@ -119,6 +123,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
                    sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
             FROM w LEFT JOIN gone USING (doc_id)""",
+        "op11_collocations": r"""
+            WITH t AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+            pieces AS (SELECT d, lang, unnest(string_split_regex(x, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+            ws AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+            total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM ws GROUP BY lang),
+            f AS (SELECT lang, w[i:i + k - 1] AS p, k, count(*) AS f FROM ws, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS r(i) GROUP BY ALL HAVING count(*) >= 100),
+            cand AS (SELECT * FROM f WHERE k >= 2),
+            gone AS (SELECT DISTINCT c.lang, c.p FROM (SELECT lang, f, k, unnest([p[1:k - 1], p[2:k]]) AS p FROM cand) AS q JOIN cand AS c ON c.lang = q.lang AND c.p = q.p WHERE 100 * q.f >= 100 * c.f),
+            cuts AS (SELECT c.lang, c.p, c.f AS a, x.f AS l, y.f AS r, t.n, cut, CAST((1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+                     FROM cand AS c ANTI JOIN gone USING (lang, p) JOIN total AS t USING (lang), unnest(range(1, c.k)) AS s(cut), f AS x, f AS y
+                     WHERE x.lang = c.lang AND x.p = c.p[1:cut] AND y.lang = c.lang AND y.p = c.p[cut + 1:c.k]),
+            low AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS o FROM cuts),
+            ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM low WHERE o = 1)
+            SELECT * FROM ranked WHERE rank <= 2000""",
         "secret_base_kinds": f"""
             WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS ({_SPANS}),
             kept AS (SELECT * FROM s WHERE kind = 'hex' OR (kind = 'access' AND length(m) >= 18) OR (kind = 'assign' AND length(regexp_extract(m, '^{_ASSIGN}$', 1)) >= 12)),

@@ -9,9 +9,9 @@ others are grouped by their SHA-256.
 The filter has 16 bits a row, at most :data:`MAX_BITS` (32 MB), which bounds what is broadcast. Beyond
 that its false positives rise, so more rows are grouped exactly; no result changes.
 
-Defined cases: a null text counts as empty; a null id sorts below every id; of rows repeated in every
-column exactly one stays; an empty table gives an empty result; extra columns pass through whatever
-their names.
+Defined cases: a null text counts as empty; very long texts are digested whole; a null id sorts below every id; of rows
+repeated in every column exactly one stays; an empty table gives an empty result; extra columns pass through whatever
+their names and types, maps included.
 """
 
 from __future__ import annotations
@@ -66,6 +66,11 @@ def text_digest(text: Column, normalise: Callable[[Column], Column] | None = Non
     return F.unhex(F.sha2(normalise(text) if normalise else text, 256))
 
 
+def _rest(df: DataFrame) -> Column:
+    """A hash of all columns, which tells rows equal in id and text apart. Maps, which have no hash, count by their JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema])
+
+
 def _plan(digests: DataFrame) -> tuple[DataFrame, int, DataFrame]:
     """The filter, its size, and one row per repeated digest: winner and group size."""
     bits = filter_bits(digests.count())
@@ -97,7 +102,7 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     their columns; of fully repeated rows one stays.
     """
     inner, (ident, text) = numbered_columns(df, id_col, text_col)
-    rows = inner.withColumn("digest", text_digest(F.col(text), normalise)).withColumn("_rest", F.xxhash64(*inner.columns))
+    rows = inner.withColumn("digest", text_digest(F.col(text), normalise)).withColumn("_rest", _rest(inner))
     digests = materialise(rows.select(F.col(ident).alias("id"), "digest", "_rest", F.monotonically_increasing_id().alias("_row")), "digests")
     filter_rows, bits, groups = _plan(digests)
     flagged = flag_repeats(rows, filter_rows, bits)

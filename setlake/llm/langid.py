@@ -5,8 +5,8 @@ by a space). A text's own profile is compared to each language's by the out-of-p
 sum over its n-grams of the difference in rank, a fixed penalty standing for n-grams that the
 language's profile lacks. The nearest language wins.
 
-Profiles are learned from labelled rows of the ``languages`` most frequent labels, at most about ``rows_per_language`` of each, taken
-by a hash of the id: bounds that are parameters. Whole texts are read in training and prediction.
+Profiles are learned for every label, from at most about ``rows_per_language`` of its rows, taken by a hash of the id: a bound that is
+a parameter. Whole texts are read in training and prediction. Memory grows with the labels, by a profile each.
 
 Defined cases: a null text or one without a letter (Unicode class L) is ``und`` with score 0; null labels teach
 nothing; with no labelled row at all, as in an empty table, every text is ``und``; ties of distance go to the language first in
@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from setlake.llm.common import arrow_rows, begin_work
 
-#: Length of a profile, labelled rows that each language may learn from, and languages that are learned (the most frequent labels).
-PROFILE, ROWS_PER_LANGUAGE, LANGUAGES = 400, 20_000, 1000
+#: Length of a profile, and labelled rows that each language may learn from.
+PROFILE, ROWS_PER_LANGUAGE = 400, 20_000
+#: Labels whose shares are broadcast; more are joined as any table.
+SHARES = 100_000
 #: Code points of a text counted at once, which bounds the memory of very long texts.
 _SLICE = 1 << 18
 #: A word: letters and the marks on them; numerals of any kind are no letters.
@@ -64,21 +66,17 @@ def ranked(grams: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
     return grams[np.lexsort((grams, -counts))][:n]
 
 
-def learn(df: DataFrame, teach: Column, profile: int = PROFILE, rows_per_language: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
+def learn(df: DataFrame, teach: Column, profile: int = PROFILE, rows_per_language: int = ROWS_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
     """A profile for each label among the rows where ``teach`` holds.
 
     The driver gets ``profile`` n-grams a language, whatever the size of the corpus.
     """
-    labelled = df.filter(teach & F.col(lang_col).isNotNull())
-    often = labelled.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(languages)
-    sizes = {r[lang_col]: r["count"] for r in often.collect()}
+    labelled = df.filter(teach & F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)).alias("spread"))
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not sizes:
         return {}
-    labelled = labelled.filter(F.col(lang_col).isin(list(sizes)))
-    share = F.lit(1.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, rows_per_language / n))).otherwise(share)
-    spread = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < share * (1 << 20)
+    shares = df.sparkSession.createDataFrame([(lang, min(1.0, rows_per_language / n)) for lang, n in sizes.items()], "lang string, share double")
+    taught = labelled.join(F.broadcast(shares) if len(sizes) <= SHARES else shares, "lang").filter(F.col("spread") < F.col("share") * (1 << 20))
 
     def count(batches):
         begin_work(__name__)
@@ -92,7 +90,7 @@ def learn(df: DataFrame, teach: Column, profile: int = PROFILE, rows_per_languag
             done = pd.concat(parts).groupby(level=0).sum()
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(done), "gram": done.index.to_numpy(np.int64), "n": done.to_numpy(np.int64)})
 
-    counted = labelled.filter(spread).select(lang_col, text_col).mapInArrow(count, "lang string, gram long, n long")
+    counted = taught.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = totals.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).filter(F.col("r") <= profile)
     out: Profiles = {lang: [] for lang in sizes}
@@ -104,10 +102,12 @@ def learn(df: DataFrame, teach: Column, profile: int = PROFILE, rows_per_languag
 def classifier(profiles: Profiles, profile: int = PROFILE) -> Callable[[str | None], tuple[str, float]]:
     """Text to (language, score from 0 to 1). The score is how near the text comes to the profile: 1 is the profile itself."""
     langs = list(profiles)
-    grams = np.unique(np.concatenate([np.array(profiles[x], np.int64) for x in langs])) if langs else np.zeros(0, np.int64)
-    ranks = np.full((len(grams), len(langs)), -1, np.int64)
-    for k, lang in enumerate(langs):
-        ranks[np.searchsorted(grams, np.array(profiles[lang], np.int64)), k] = np.arange(len(profiles[lang]))
+    entries = np.concatenate([np.array(profiles[x], np.int64) for x in langs]) if langs else np.zeros(0, np.int64)
+    whose = np.repeat(np.arange(len(langs)), [len(profiles[x]) for x in langs])
+    ranks = np.concatenate([np.arange(len(profiles[x])) for x in langs]) if langs else entries
+    order = np.argsort(entries, kind="stable")
+    whose, ranks = whose[order], ranks[order]
+    grams, starts, sizes = np.unique(entries[order], return_index=True, return_counts=True)
 
     def predict(text: str | None) -> tuple[str, float]:
         own = ranked(*ngram_counts(text), profile)
@@ -115,8 +115,13 @@ def classifier(profiles: Profiles, profile: int = PROFILE) -> Callable[[str | No
             return "und", 0.0
         at = np.searchsorted(grams, own)
         at[at == len(grams)] = 0
-        found = np.where((grams[at] == own)[:, None], ranks[at], -1)
-        away = np.where(found < 0, profile, np.abs(found - np.arange(len(own))[:, None])).sum(axis=0)
+        place = np.flatnonzero(grams[at] == own)
+        at = at[place]
+        # the entries of all profiles that hold a gram of the text: each is nearer than one that is lacking
+        n = sizes[at]
+        here = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        nearer = profile - np.abs(ranks[here] - np.repeat(place, n))
+        away = profile * len(own) - np.bincount(whose[here], weights=nearer, minlength=len(langs)).astype(np.int64)
         best = int(away.argmin())
         return langs[best], float(1 - away[best] / (profile * len(own)))
 

@@ -5,7 +5,7 @@ line (smaller id, then smaller line number) goes, as does one with the same word
 on the input, not on what is left. Lines under ``MIN_WORDS`` words only go if they are the same; lines
 without a word always stay.
 
-1. Lines of the same words are one from the start: the earliest stands for them.
+1. Lines of the same words, by 128 bits of SHA-256, are one from the start: the earliest stands for them.
 2. Two lines within one edit share their first or their last half of words, so only lines that share
    such a half with a different line go on; the halves are counted by hash, a few bytes a line.
 3. Those emit every variant with one word deleted, as a hashed key. Variants with the gap at the same
@@ -84,10 +84,11 @@ def near_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     lines = df.select(F.col("_key").alias("key"), F.posexplode(_lines(F.col(text_col))).alias("line", "text"))
     words = lines.select("key", "line", _words(F.col("text")).alias("words")).filter(F.get("words", F.lit(0)) != "")
     n = F.size("words")
-    table = words.select("key", "line", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), F.when(n >= MIN_WORDS - 1, _halves(F.col("words"), n)).alias("halves"))
+    digest = F.unhex(F.substring(F.sha2(F.array_join("words", " "), 256), 1, 32))
+    table = words.select("key", "line", digest.alias("digest"), F.when(n >= MIN_WORDS - 1, _halves(F.col("words"), n)).alias("halves"))
     table = materialise(table, "lines")
-    firsts = materialise(table.groupBy("h1", "h2").agg(F.min(F.struct("key", "line")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves")), "firsts")
-    same = table.join(firsts.filter("n > 1").select("h1", "h2", "first"), ["h1", "h2"]).filter(F.struct("key", "line") != F.col("first")).select("key", "line")
+    firsts = materialise(table.groupBy("digest").agg(F.min(F.struct("key", "line")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves")), "firsts")
+    same = table.join(firsts.filter("n > 1").select("digest", "first"), "digest").filter(F.struct("key", "line") != F.col("first")).select("key", "line")
 
     halves = firsts.select("first.key", "first.line", F.explode("halves").alias("half"))
     shared = materialise(halves.groupBy("half").count().filter("count > 1").select("half"), "halves")

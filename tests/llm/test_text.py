@@ -497,3 +497,13 @@ def test_query_equals_sql(spark, sf_dir, name):
     from tests.test_catalogue import compare
 
     compare(spark, catalogue.queries()[name], catalogue.oracle_sql()[name], sf_dir)
+
+
+def test_any_number_of_languages_is_learned(spark):
+    labels = 1500
+    rows = [(i, "".join(chr(0x4E00 + (i % labels) * 5 + k) for k in range(5)), f"l{i % labels:04d}") for i in range(2 * labels)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    profiles = langid.learn(df, F.lit(True))
+    assert len(profiles) == labels
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, profiles).collect()}
+    assert got == {i: (lang, 1.0) for i, _, lang in rows}
