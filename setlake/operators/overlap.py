@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from setlake.functions import predicates as P
@@ -36,21 +36,18 @@ def classified(keys: DataFrame, a: DataFrame, b: DataFrame, names: tuple[str, st
     return flagged(keys, a, b, names, key).withColumn("overlap_category", P.category(F.col(names[0]), F.col(names[1]), labels))
 
 
-def counts(rows: DataFrame, labels: tuple[str, ...] = P.CATEGORIES) -> DataFrame:
-    """Rows per category, zero for absent ones; an unknown category fails the query."""
-    spark = rows.sparkSession
-    known = spark.createDataFrame([(i, c) for i, c in enumerate(labels)], "position int, overlap_category string")
-    bad = F.raise_error(F.concat(F.lit("unknown overlap category: "), F.coalesce("overlap_category", F.lit("null")))).cast("string")
-    checked = rows.select(F.when(F.col("overlap_category").isin(*labels), F.col("overlap_category")).otherwise(bad).alias("overlap_category"))
-    counted = checked.groupBy("overlap_category").agg(F.count(F.lit(1)).alias("count"))  # at most len(labels) rows
-    return known.join(F.broadcast(counted), "overlap_category", "left").select("position", "overlap_category", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
-
-
 def summary(rows: DataFrame, labels: tuple[str, ...] = P.CATEGORIES) -> DataFrame:
-    """One row per category in the order of ``labels``: count and percentage (count / total * 100, 0 for an empty universe)."""
-    counted = counts(rows, labels).withColumn("total", F.sum("count").over(Window.partitionBy(F.lit(0))))  # over len(labels) rows
-    share = F.when(F.col("total") > 0, F.col("count") / F.col("total") * F.lit(100.0)).otherwise(F.lit(0.0))
-    return counted.orderBy("position").select("overlap_category", "count", share.cast("double").alias("percentage"))
+    """One row per category in the order of ``labels``: count and percentage (count / total * 100, 0 for an empty universe). An unknown category fails the query.
+
+    One aggregate, of a row a task; its one row is then laid out as rows, in order.
+    """
+    label = F.col("overlap_category")
+    odd = F.min(F.when(~F.coalesce(label.isin(*labels), F.lit(False)), F.coalesce(label, F.lit("null"))))
+    counted = rows.agg(*[F.count_if(label == name).alias(f"n{i}") for i, name in enumerate(labels)], F.count(F.lit(1)).alias("total"), odd.alias("odd"))
+    checked = counted.select("*", F.when(F.col("odd").isNotNull(), F.raise_error(F.concat(F.lit("unknown overlap category: "), F.col("odd"))).cast("bigint")).otherwise(F.col("total")).alias("all"))
+    share = lambda n: F.when(F.col("all") > 0, n / F.col("all") * F.lit(100.0)).otherwise(F.lit(0.0))
+    lines = [F.struct(F.lit(name).alias("overlap_category"), F.col(f"n{i}").cast("bigint").alias("count"), share(F.col(f"n{i}")).cast("double").alias("percentage")) for i, name in enumerate(labels)]
+    return checked.select(F.inline(F.array(*lines)))
 
 
 def occurrence_counts(rows: DataFrame, by: str = "osm_type", key: tuple[str, ...] = KEY) -> DataFrame:

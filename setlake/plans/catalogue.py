@@ -334,7 +334,7 @@ def pbf_identities(spark, d):
     kind = F.when(F.col("p_size") < 10, "multipolygon").when(F.col("p_size") < 20, "boundary").when(F.col("p_size") < 30, "route").otherwise("Boundary")
     areas = _table(spark, d, "part").select(F.lit("relation").alias("osm_type"), F.col("p_partkey").alias("osm_id"), F.array(tag("name", F.col("p_name")), tag("type", kind)).alias("tags"))
     files = write_pbf(ways.unionByName(areas, allowMissingColumns=True), _folder(spark, "pbf"))
-    return scan(spark, files, split_blobs=4).select("osm_type", "osm_id")
+    return scan(spark, files, split_bytes=1 << 16).select("osm_type", "osm_id")
 
 
 def stream_universe(spark, d):
@@ -359,8 +359,8 @@ _SQL = {
     "sharded_rows": _WITH + "SELECT entity_type AS osm_type, entity_id AS osm_id, in_a, in_b, overlap_category, true AS on_its_shard FROM c",
     "pbf_identities": """WITH w AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p, max(l_quantity) AS most FROM lineitem GROUP BY l_orderkey),
         r AS (SELECT l_orderkey, CASE WHEN most > 10 THEN list_append(p, p[1]) ELSE p END AS r FROM w)
-        SELECT 'way' AS osm_type, l_orderkey AS osm_id FROM r WHERE len(r) >= 3 AND r[1] <> r[2] AND r[1] <> r[3] AND r[2] <> r[3] AND r[-1] = r[1]
-        UNION ALL SELECT 'relation', p_partkey FROM part WHERE p_size < 20""",
+        SELECT 'way' AS osm_type, l_orderkey AS osm_id FROM r WHERE len(r) >= 3 AND r[1] <> r[2] AND r[1] <> r[3] AND r[2] <> r[3] AND r[-1] = r[1] AND l_orderkey > 0
+        UNION ALL SELECT 'relation', p_partkey FROM part WHERE p_size < 20 AND p_partkey > 0""",
     "stream_universe": "SELECT DISTINCT 'way' AS osm_type, o_custkey AS osm_id FROM orders UNION SELECT 'relation', l_suppkey FROM lineitem",
     "scan_project_key": "SELECT 'customer' AS entity_type, CAST(o_custkey AS BIGINT) AS entity_id FROM orders",
     "filter_type_in": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase')",

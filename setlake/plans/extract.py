@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 from queue import Queue
@@ -25,7 +25,7 @@ from setlake.paths import DataPaths
 from setlake.schemas import IDENTITY
 from setlake.sinks.atomic import footer_rows, matches_schema, promote_parts, read_json_object, write_json
 from setlake.sources.files import pbf_files, sha256, unreadable
-from setlake.sources.pbf import PbfDataSource, PBFReadError
+from setlake.sources.pbf import SPLIT_BYTES, PBFReadError, register
 
 MAX_WORKERS, BATCH_ROWS = 8, 100_000
 Scanner = Callable[[Path, Callable[[Identity], None]], None]
@@ -131,10 +131,10 @@ def scanner_mode(scanner: Scanner | None, ring_rule: str = "first3") -> str:
     return "custom" if scanner is not None else "coverage-only" if ring_rule == "first3" else f"coverage-only:{ring_rule}"
 
 
-def scan(spark: SparkSession, paths: list[Path], ring_rule: str = "first3", split_blobs: int = 256) -> DataFrame:
+def scan(spark: SparkSession, paths: Sequence[Path | str], ring_rule: str = "first3", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Raw occurrences (source, osm_type, osm_id) of PBF files."""
-    spark.dataSource.register(PbfDataSource)
-    return spark.read.format("osmpbf").option("paths", json.dumps([str(p) for p in paths])).option("ring_rule", ring_rule).option("split_blobs", split_blobs).load()
+    register(spark)
+    return spark.read.format("osmpbf").option("paths", json.dumps([str(p) for p in paths])).option("ring_rule", ring_rule).option("split_bytes", split_bytes).load()
 
 
 def _told(scanner: Scanner, path: Path, rows: int) -> Iterator[list[Identity]]:

@@ -9,7 +9,8 @@ from setlake.paths import DataPaths
 from setlake.schemas import WEBSITE_COLUMNS
 from setlake.sources import files as S
 from setlake.sources.files import read_union
-from setlake.sources.pbf import PbfDataSource, PBFReadError, block_identities, packed, scan_pbf_keys
+from setlake.sources import pbf as PBF
+from setlake.sources.pbf import PbfReader, PBFReadError, block_identities, packed, register, scan_pbf_keys
 from setlake.sources.text import WebsiteSource, WikidataSource
 from tests.support import field, parquet, pbf, tree, varint
 
@@ -77,8 +78,8 @@ def test_pbf_identities_over_split_blobs(spark, tmp_path, compress):
     relations = [(1, [("name", "x"), ("type", "boundary")]), (2, [("type", "route"), ("type", "multipolygon")]), (3, [("type", "Boundary")]), (4, [("boundary", "type")]), (5, [])]
     path = tmp_path / "a.osm.pbf"
     path.write_bytes(pbf(ways, relations, compress, blocks=5))
-    spark.dataSource.register(PbfDataSource)
-    read = lambda **o: spark.read.format("osmpbf").options(**o).option("split_blobs", 2).load(str(path))
+    register(spark)
+    read = lambda **o: spark.read.format("osmpbf").options(**o).option("split_bytes", 700).load(str(path))
     keys = {("way", i) for i in range(1, 200, 2)} | {("relation", 1), ("relation", 2)}
     assert {(r.osm_type, r.osm_id) for r in read().collect()} == keys
     assert {(r.osm_type, r.osm_id) for r in read(ring_rule="distinct3").collect()} == keys | {("way", 500)}
@@ -182,9 +183,110 @@ def test_paths(tmp_path):
 
 
 def test_pbf_options(tmp_path):
-    from setlake.sources.pbf import PbfReader
-
-    for bad in ({"mode": "x"}, {"ring_rule": "x"}, {"split_blobs": "0"}):
+    for bad in ({"mode": "x"}, {"ring_rule": "x"}, {"split_bytes": "0"}):
         with pytest.raises(ValueError):
             PbfReader({"path": "x"} | bad)
     assert PbfReader({"paths": json.dumps(["a", "b"])}).paths == ["a", "b"]
+
+
+def rows_of(path, split: int, **options) -> list[tuple]:
+    """Rows of every stretch, without Spark."""
+    reader = PbfReader({"path": str(path), "split_bytes": str(split)} | options)
+    return sorted((k, i) for part in reader.partitions() for batch in reader.read(part) for k, i in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+
+
+def test_any_cuts_give_the_same_rows(tmp_path, monkeypatch):
+    ways = [(i, [i, i + 1, i + 2, i]) for i in range(1, 120)]
+    path = tmp_path / "a.osm.pbf"
+    path.write_bytes(pbf(ways, [(5, [("type", "boundary")])], blocks=23))
+    whole = rows_of(path, 1 << 30)
+    assert len(whole) == 120
+    longest = 400
+    for limit in (PBF.MAX_BLOB, longest):
+        monkeypatch.setattr(PBF, "MAX_BLOB", limit)
+        monkeypatch.setattr(PBF, "MAX_HEADER", min(limit, 40))
+        walks = []
+        monkeypatch.setattr(PBF, "_walked", lambda file, at, start, walked=PBF._walked: walks.append(start) or walked(file, at, start))
+        for split in (1, 13, 100, 257, 1000, 5000):
+            assert rows_of(path, split) == whole
+        if limit == longest:  # behind the first stretch of a blob's size no task walks from the beginning
+            assert max(walks) <= longest + 44
+
+
+def test_content_that_looks_like_blobs_costs_time_only(tmp_path, monkeypatch):
+    """Blobs that lie uncompressed in a string of another block: as such, and so that their chain joins the true one."""
+    fake = pbf([(900, [1, 2, 3, 1])], compress=False)
+    tail = fake[-60:]
+    data = pbf([(1, [1, 2, 3, 1])], blocks=1)
+    strings = field(1, b"".join(field(1, s) for s in (b"", fake * 3, tail)))
+    body = field(1, strings + field(2, field(3, field(1, 7) + field(8, b"".join(varint(d) for d in (2, 2, 2, 3))))))
+    head = field(1, b"OSMData") + field(3, len(body))
+    data += len(head).to_bytes(4, "big") + head + body
+    # the last bytes of this content are themselves a blob, whose end is the true next start
+    inner = pbf([(901, [1, 2, 3, 1])], compress=False)
+    body = field(1, field(2, field(3, field(1, 8) + field(8, b"".join(varint(d) for d in (2, 2, 2, 3))))) + field(99, inner))
+    head = field(1, b"OSMData") + field(3, len(body))
+    data += len(head).to_bytes(4, "big") + head + body + pbf([(3, [1, 2, 3, 1])])
+    path = tmp_path / "a.osm.pbf"
+    path.write_bytes(data)
+    monkeypatch.setattr(PBF, "MAX_BLOB", 1500)
+    monkeypatch.setattr(PBF, "MAX_HEADER", 40)
+    whole = rows_of(path, 1 << 30)
+    assert [i for _, i in whole] == [1, 3, 7, 8]
+    for split in (1, 7, 50, 300):
+        assert rows_of(path, split) == whole
+
+
+@pytest.mark.parametrize("cut", [3, 200, 1000])
+def test_damage_is_found_by_some_task(tmp_path, monkeypatch, cut):
+    path = tmp_path / "a.osm.pbf"
+    data = pbf([(i, [i, i + 1, i + 2, i]) for i in range(1, 300)], blocks=30)
+    monkeypatch.setattr(PBF, "MAX_BLOB", 600)
+    monkeypatch.setattr(PBF, "MAX_HEADER", 40)
+    for broken in (data[:-cut], data[: len(data) // 2] + b"\xff" * 30 + data[len(data) // 2 + 30 :]):
+        path.write_bytes(broken)
+        with pytest.raises(PBFReadError):
+            rows_of(path, 500)
+
+
+def test_filters_are_taken_over(spark, tmp_path, capsys):
+    for name in "ab":
+        (tmp_path / f"{name}.osm.pbf").write_bytes(pbf([(i, [i, i + 1, i + 2, i]) for i in range(1, 50)], [(7, [("type", "boundary")])], blocks=4))
+    register(spark)
+    paths = [str(tmp_path / f"{n}.osm.pbf") for n in "ab"]
+    read = lambda *schema: (spark.read.schema(*schema) if schema else spark.read).format("osmpbf").option("paths", json.dumps(paths)).load()
+    ways = read().filter("osm_type = 'way' AND source = 'b' AND osm_id > 40")
+    assert sorted(r.osm_id for r in ways.collect()) == list(range(41, 50))
+    ways.explain("formatted")
+    plan = capsys.readouterr().out
+    print(plan)
+    assert "PushedFilters" in plan and "osm_type" in plan.split("PushedFilters")[1].split("]")[0]
+    assert read().filter("osm_type IN ('relation', 'node')").count() == 2 and read().filter("source = 'c'").count() == 0
+    some = read("osm_id long, refs array<bigint>")
+    assert some.columns == ["osm_id", "refs"] and some.count() == 100
+    assert sorted(some.filter("osm_id = 7").collect(), key=repr)[0].refs in ([], [7, 8, 9, 7])
+    reader = PbfReader({"paths": json.dumps(paths)}, ["osm_type", "osm_id"])
+    from pyspark.sql.datasource import EqualTo, In
+
+    other = EqualTo(("osm_id",), 3)
+    assert list(reader.pushFilters([EqualTo(("osm_type",), "relation"), In(("source",), ("a", "z")), other])) == [other]
+    parts = reader.partitions()
+    assert {p.source for p in parts} == {"a"}
+    assert [b.num_rows for p in parts for b in reader.read(p)] == [1] and dict(reader.decoded) == {"relation": 1}
+    with pytest.raises(ValueError, match="no such columns"):
+        PbfReader({"path": "x", "mode": "identities"}, ["refs"])
+
+
+def test_planning_opens_no_file(tmp_path, monkeypatch):
+    path = tmp_path / "a.osm.pbf"
+    path.write_bytes(pbf([(1, [1, 2, 3, 1])]))
+    monkeypatch.setattr("builtins.open", None)
+    assert len(PbfReader({"path": str(path), "split_bytes": "10"}).partitions()) > 3
+
+
+def test_files_of_other_stores(tmp_path):
+    path = tmp_path / "a.osm.pbf"
+    path.write_bytes(pbf([(1, [1, 2, 3, 1])], blocks=2))
+    assert rows_of(path.as_uri(), 50) == rows_of(path, 1000) == [("way", 1)]
+    with pytest.raises(PBFReadError, match="not a file"):
+        rows_of((tmp_path / "none").as_uri(), 50)
