@@ -36,14 +36,16 @@ from setlake.llm.mph import PerfectHash, build, mixed, spread
 
 #: Counters of a level's bound, candidates and words of a round, keys of a shard, counters of a piece. Together these bound what a task holds and what is broadcast.
 SLOTS, CANDIDATES, WORDS, SHARD, PIECE = 1 << 22, 1 << 21, 1 << 19, 1 << 16, 1 << 16
-#: Distinct keys or words that a task holds before it passes them on.
-HELD = 1 << 19
+#: Distinct keys or words that a task holds before it passes them on, numbers that are looked up at once, and slots that are held for one ``bincount``.
+HELD, CHUNK, LOT = 1 << 18, 1 << 19, 1 << 21
 #: First stage of a tree of sums: tasks are dealt to so many branches.
 BRANCHES = 16
 #: Letters to lower case, a tab to a space, what ends a piece to a line feed.
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t.,;:!?\x0b\x0c\r", bytes(range(97, 123)) + b" " + b"\n" * 9)
 #: Stands between pieces; no byte of UTF-8.
 _END = b"\xff"
+#: A number that is no phrase.
+_GAP = b"\xff\xff\xff\xff"
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -93,9 +95,9 @@ def numbered(texts: DataFrame, frequent: DataFrame) -> DataFrame:
         known: dict[str, _Numbers] = {}
         for r in frequent.filter(F.pmod(F.xxhash64("lang", "word"), F.lit(rounds)) == own).toLocalIterator():
             known.setdefault(r["lang"], _Numbers())[r["word"].encode()] = r["id"]
-        shared = spark.sparkContext.broadcast(known)
+        shared, final = spark.sparkContext.broadcast(known), own == rounds - 1
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, final=final) -> Iterator[pa.RecordBatch]:
             begin_work(__name__)
             none = _Numbers()
             for batch in batches:
@@ -103,19 +105,25 @@ def numbered(texts: DataFrame, frequent: DataFrame) -> DataFrame:
                 for lang, text, before in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                     ids = np.array(list(map(shared.value.get(lang, none).__getitem__, tokens(text))), np.int32)
                     out.append((np.maximum(ids, np.frombuffer(before, np.int32)) if before is not None else ids).tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["lang", "text", "ids"])
+                made = pa.array(out, pa.binary())
+                yield pa.RecordBatch.from_arrays([made], names=["ids"]) if final else pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=["lang", "text", "ids"])
 
-        done, last = rows.mapInArrow(run, "lang string, text string, ids binary"), rows
-        rows = materialise(done.select("ids") if own == rounds - 1 else done, "numbered")
+        last, rows = rows, materialise(rows.mapInArrow(run, "ids binary" if final else "lang string, text string, ids binary"), "numbered")
         drop_scratch(spark, last)
         shared.unpersist()
     return rows
 
 
-def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """All rows of a batch as one row of numbers with -1 between, and the positions where it and the next are numbers."""
-    ids = np.frombuffer(b"\xff\xff\xff\xff".join(batch.column(0).to_pylist()), np.int32)
-    return ids, np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+def _chunks(rows: list[bytes]) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Rows as long stretches of numbers with -1 behind each row: which rows, their numbers, and the positions where a number and the next are both phrases. A stretch has about CHUNK numbers, or one row."""
+    start = size = 0
+    for k, row in enumerate([*rows, b""]):
+        if k == len(rows) or size + len(row) > 4 * CHUNK and k > start:
+            if k > start:
+                ids = np.frombuffer(_GAP.join(rows[start:k]) + _GAP, np.int32)
+                yield slice(start, k), ids, np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+            start, size = k, 0
+        size += len(row) + 4
 
 
 def _pairs(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -184,10 +192,14 @@ def _counted(rows: DataFrame, n: int, slots: Callable[[np.ndarray], np.ndarray])
         from pyspark import TaskContext
 
         begin_work(__name__)
-        counts = np.zeros(n, np.int64)
-        for batch in batches:
-            at = slots(_pairs(*_keys(batch)))
-            counts += np.bincount(at[at >= 0], minlength=n)
+        counts, lot = np.zeros(n, np.int64), []
+        for batch in chain(batches, [None]):
+            for _, ids, at in _chunks(batch.column(0).to_pylist()) if batch is not None else ():
+                found = slots(_pairs(ids, at))
+                lot.append(found[found >= 0].astype(np.uint32))
+            if lot and (batch is None or sum(map(len, lot)) > LOT):
+                counts += np.bincount(np.concatenate(lot), minlength=n)
+                lot.clear()
         yield from _pieces(TaskContext.get().partitionId(), counts)
 
     return _summed(rows.mapInArrow(run, _PART))
@@ -208,10 +220,9 @@ def _candidates(rows: DataFrame, bound: np.ndarray) -> DataFrame:
         begin_work(__name__)
         held = np.zeros(0, np.uint64)
         for batch in chain(batches, [None]):
-            if batch is not None:
-                keys = _pairs(*_keys(batch))
-                keys = keys[_on(shared.value, (mixed(keys, 62) % np.uint64(n)).astype(np.int64))]
-                held = np.union1d(held, keys)
+            for _, ids, at in _chunks(batch.column(0).to_pylist()) if batch is not None else ():
+                keys = _pairs(ids, at)
+                held = np.union1d(held, keys[_on(shared.value, (mixed(keys, 62) % np.uint64(n)).astype(np.int64))])
             if batch is None or len(held) > most:
                 yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(spread(held))], names=["key", "spread"])
                 held = held[:0]
@@ -256,26 +267,28 @@ def _level(rows: DataFrame, least: int, onward: bool) -> tuple[DataFrame, DataFr
         own_found = materialise(pieces.mapInArrow(frequent, "id long, head long, tail long, n long"), "frequent")
         found = own_found if found is None else found.unionByName(own_found)
         if onward:
-            reached = spark.sparkContext.broadcast(_reaching(pieces, len(table), least))
+            reached, last_round = spark.sparkContext.broadcast(_reaching(pieces, len(table), least)), own == rounds - 1
 
-            def turn(batches: Iterator[pa.RecordBatch], shared=shared, reached=reached, base=base) -> Iterator[pa.RecordBatch]:
+            def turn(batches: Iterator[pa.RecordBatch], shared=shared, reached=reached, base=base, own=own, last_round=last_round) -> Iterator[pa.RecordBatch]:
                 begin_work(__name__)
                 for batch in batches:
-                    ids, at = _keys(batch)
-                    new = np.full(len(ids), -1, np.int32)
-                    slots = shared.value.slots(_pairs(ids, at))
-                    at, slots = at[slots >= 0], slots[slots >= 0]
-                    on = _on(reached.value, slots)
-                    new[at[on]] = base + slots[on]
-                    before = batch.column(1).to_pylist()
-                    if before and before[0] is not None:
-                        new = np.maximum(new, np.frombuffer(b"\xff\xff\xff\xff".join(before), np.int32))
-                    # one row a batch, if it has a number; later rounds need both side by side
-                    if rounds > 1 or (new >= 0).any():
-                        yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([new.tobytes()], pa.binary())], names=["ids", "next"])
-
-            last, turned = turned, turned.mapInArrow(turn, "ids binary, next binary")
-            turned = materialise(turned if own < rounds - 1 else turned.select(F.col("next").alias("ids")), "turned")
+                    rows, before = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                    for part, ids, at in _chunks(rows):
+                        new = np.full(len(ids), -1, np.int32)
+                        slots = shared.value.slots(_pairs(ids, at))
+                        at, slots = at[slots >= 0], slots[slots >= 0]
+                        on = _on(reached.value, slots)
+                        new[at[on]] = base + slots[on]
+                        if own:
+                            new = np.maximum(new, np.frombuffer(b"".join(before[part]), np.int32))
+                        ends = np.cumsum([0, *(len(row) + 4 for row in rows[part])])
+                        made = pa.array([new[i // 4 : j // 4].tobytes() for i, j in zip(ends, ends[1:], strict=False)], pa.binary())
+                        if last_round:  # rows without a phrase go
+                            yield pa.RecordBatch.from_arrays([made], names=["ids"]).filter(pa.array(np.maximum.reduceat(new, ends[:-1] // 4) >= 0))
+                        else:
+                            yield pa.RecordBatch.from_arrays([batch.column(0)[part], made], names=["ids", "next"])
+
+            last, turned = turned, materialise(turned.mapInArrow(turn, "ids binary" if last_round else "ids binary, next binary"), "turned")
             drop_scratch(spark, last)
         drop_scratch(spark, pieces)
         base += len(table)

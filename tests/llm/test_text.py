@@ -489,7 +489,7 @@ def test_registered_queries(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
