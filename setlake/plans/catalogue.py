@@ -13,14 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setlake.functions import predicates as P
+from setlake.operators import bitmaps as B
 from setlake.operators import overlap as O  # noqa: E741
 from setlake.operators import sets as S
 from setlake.plans.extract import scan
+from setlake.plans.stored import buckets_for, compute_stored_overlap, store_keys, summary_frame
 from setlake.schemas import IDENTITY
 from setlake.session import scratch
+from setlake.sinks.manifest import ManifestTable
 from setlake.sinks.pbf import write_pbf
 from setlake.sources.files import parquet_files, read_union
 from setlake.sources.text import WebsiteSource, WikidataSource
+from setlake.streaming.categories import CHANGES, current, follow_categories
 from setlake.streaming.universe import grow_universe
 
 KEY = ("entity_type", "entity_id")
@@ -45,16 +49,24 @@ def _a_rule() -> Column:
     return ((F.col("o_orderstatus") == "F") & text & (F.col("o_totalprice") > 400000)) | ((F.col("o_orderstatus") == "P") & text & (F.col("o_totalprice") < 2000))
 
 
-def set_a(spark: SparkSession, d: str) -> DataFrame:
+def _rows_a(spark: SparkSession, d: str) -> DataFrame:
     orders = _keyed(_table(spark, d, "orders").filter(_a_rule()), "customer", "o_custkey")
     items = _table(spark, d, "lineitem").filter("l_returnflag = 'R' AND l_quantity >= 50 AND l_discount >= 0.1")
-    return S.distinct_keys(orders.unionByName(_keyed(items, "supplier", "l_suppkey")), KEY)
+    return orders.unionByName(_keyed(items, "supplier", "l_suppkey"))
 
 
-def set_b(spark: SparkSession, d: str) -> DataFrame:
+def _rows_b(spark: SparkSession, d: str) -> DataFrame:
     events = _keyed(_table(spark, d, "events").filter("event_type = 'purchase'"), "customer", "user_id")
     items = _table(spark, d, "lineitem").filter("l_linestatus = 'O' AND l_quantity = 1 AND l_tax = 0")
-    return S.distinct_keys(events.unionByName(_keyed(items, "supplier", "l_suppkey")), KEY)
+    return events.unionByName(_keyed(items, "supplier", "l_suppkey"))
+
+
+def set_a(spark: SparkSession, d: str) -> DataFrame:
+    return S.distinct_keys(_rows_a(spark, d), KEY)
+
+
+def set_b(spark: SparkSession, d: str) -> DataFrame:
+    return S.distinct_keys(_rows_b(spark, d), KEY)
 
 
 def _universe(spark: SparkSession, d: str) -> DataFrame:
@@ -124,13 +136,13 @@ def filter_dual_field_or(spark, d):
     return _table(spark, d, "orders").filter(_a_rule()).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
-_BLANKS = [None, "", " ", " ", "　", "  x ", "\t", "\n", " a "]
-
-
 def text_blank_variants(spark, d):
-    """Which strings count as blank."""
-    rows = spark.createDataFrame(list(enumerate(_BLANKS)), "id int, t string")
-    return rows.select("id", P.text_present(F.col("t")).alias("present"))
+    """Which strings count as blank: by nation a customer's text is null, empty, one of several blanks, a name among blanks, or a name."""
+    nation, blanks = F.col("c_nationkey"), [F.lit(x) for x in (None, "", " ", "\u00a0", "\u3000", "\t", "\n")]
+    text = F.concat(F.lit(" \u2003"), "c_mktsegment", F.lit("\u00a0"))
+    for i, blank in enumerate(blanks):
+        text = F.when(nation == i, blank).otherwise(text)
+    return _table(spark, d, "customer").select("c_custkey", P.text_present(text).alias("present"))
 
 
 def membership_a(spark, d):
@@ -175,18 +187,28 @@ def overlap_rows(spark, d):
 
 
 def overlap_summary(spark, d):
-    """Count and percentage of every category."""
+    """Count and percentage of every category, by bitmaps."""
+    return B.summary(occurrences(spark, d), _rows_a(spark, d), _rows_b(spark, d), LABELS, KEY)
+
+
+def overlap_summary_of_rows(spark, d):
+    """The same from classified rows."""
     return O.summary(_rows(spark, d), LABELS)
 
 
+def overlap_rows_by_bitmaps(spark, d):
+    """Flags and category of every key without a join."""
+    return B.classified(occurrences(spark, d), _rows_a(spark, d), _rows_b(spark, d), NAMES, LABELS, KEY)
+
+
 def overlap_summary_empty(spark, d):
     """The same over no keys: four rows of zeros."""
     return O.summary(_rows(spark, d, _universe(spark, d).filter("entity_id < 0")), LABELS)
 
 
 def overlap_by_type(spark, d):
-    """Category counts per type."""
-    return _rows(spark, d).groupBy("entity_type", "overlap_category").agg(F.count(F.lit(1)).alias("count"))
+    """Category counts per type, by bitmaps."""
+    return B.by_type(occurrences(spark, d), _rows_a(spark, d), _rows_b(spark, d), LABELS, KEY)
 
 
 def _category(label: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -212,22 +234,28 @@ def shard_sorted_rows(spark, d):
     return _rows(spark, d).withColumn("shard_id", _portable_shard()).repartitionById(64, F.col("shard_id").cast("int")).sortWithinPartitions(*KEY)
 
 
-_RINGS = [[1, 2, 3, 1], [1, 2, 3, 4, 1], [1, 2, 3], [1, 2, 1], [1, 2, 3, 2], [1, 2, 2, 1], [1, 2, 1, 3, 4, 1], [1, 2, 2, 3, 1], [], [1]]
+def _ways(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as ways: their parts by line number, closed by the first where an item has a quantity over 10."""
+    refs = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
+    ways = _table(spark, d, "lineitem").groupBy("l_orderkey").agg(refs.alias("refs"), F.max("l_quantity").alias("most"))
+    return ways.select(F.lit("way").alias("osm_type"), F.col("l_orderkey").alias("osm_id"), F.when(F.col("most") > 10, F.concat("refs", F.slice("refs", 1, 1))).otherwise(F.col("refs")).alias("refs"))
 
 
-def ring_predicate(spark, d):
-    """Both ring rules over literal references."""
-    rows = spark.createDataFrame(list(enumerate(_RINGS)), "id int, refs array<bigint>")
-    return rows.select("id", *[P.closed_ring(F.col("refs"), r).alias(r) for r in P.RING_RULES])
+def _areas(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as relations: two kinds of areas by size, another kind, and a kind that differs in case."""
+    tag = lambda k, v: F.struct(F.lit(k).alias("k"), v.alias("v"))
+    kind = F.when(F.col("p_size") < 10, "multipolygon").when(F.col("p_size") < 20, "boundary").when(F.col("p_size") < 30, "route").otherwise("Boundary")
+    return _table(spark, d, "part").select(F.lit("relation").alias("osm_type"), F.col("p_partkey").alias("osm_id"), F.array(tag("name", F.col("p_name")), tag("type", kind)).alias("tags"))
 
 
-_TAGS = [[("type", "multipolygon")], [("type", "route"), ("type", "boundary")], [("Type", "boundary")], [("name", "type")], [], [("type", "Boundary")]]
+def ring_predicate(spark, d):
+    """Both ring rules over references."""
+    return _ways(spark, d).select("osm_id", *[P.closed_ring(F.col("refs"), r).alias(r) for r in P.RING_RULES])
 
 
 def relation_predicate(spark, d):
     """Which tag lists make an area."""
-    rows = spark.createDataFrame(list(enumerate(_TAGS)), "id int, tags array<struct<k:string,v:string>>")
-    return rows.select("id", P.area_relation(F.col("tags")).alias("is_area"))
+    return _areas(spark, d).select("osm_id", P.area_relation(F.col("tags")).alias("is_area"))
 
 
 def union_by_name_drift(spark, d):
@@ -325,16 +353,42 @@ def sharded_rows(spark, d):
     return O.sharded(rows, 64).withColumn("on_its_shard", F.spark_partition_id() == P.shard(F.col("osm_type"), F.col("osm_id"), 64))
 
 
+def _pbf(spark: SparkSession, d: str, ring_rule: str = "first3") -> DataFrame:
+    """Orders and parts written as PBF files and scanned, in stretches far smaller than a file."""
+    files = write_pbf(_ways(spark, d).unionByName(_areas(spark, d), allowMissingColumns=True), _folder(spark, "pbf"))
+    return scan(spark, files, ring_rule, split_bytes=1 << 16)
+
+
 def pbf_identities(spark, d):
-    """The PBF source over files of orders as ways (parts by line number, closed by the first) and items as relations, with ids of closed ways and areas."""
-    items = _table(spark, d, "lineitem")
-    refs = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
-    ways = items.groupBy("l_orderkey").agg(refs.alias("refs"), F.max("l_quantity").alias("most")).select(F.lit("way").alias("osm_type"), F.col("l_orderkey").alias("osm_id"), F.when(F.col("most") > 10, F.concat("refs", F.slice("refs", 1, 1))).otherwise(F.col("refs")).alias("refs"))
-    tag = lambda k, v: F.struct(F.lit(k).alias("k"), v.alias("v"))
-    kind = F.when(F.col("p_size") < 10, "multipolygon").when(F.col("p_size") < 20, "boundary").when(F.col("p_size") < 30, "route").otherwise("Boundary")
-    areas = _table(spark, d, "part").select(F.lit("relation").alias("osm_type"), F.col("p_partkey").alias("osm_id"), F.array(tag("name", F.col("p_name")), tag("type", kind)).alias("tags"))
-    files = write_pbf(ways.unionByName(areas, allowMissingColumns=True), _folder(spark, "pbf"))
-    return scan(spark, files, split_bytes=1 << 16).select("osm_type", "osm_id")
+    """The PBF source over files of orders as ways and parts as relations: ids of closed ways and areas."""
+    return _pbf(spark, d).select("osm_type", "osm_id")
+
+
+def pbf_loose_rings(spark, d):
+    """The same by the looser ring rule, with a filter that the source takes over: relations stay undecoded."""
+    return _pbf(spark, d, "distinct3").filter("osm_type = 'way'").select("osm_id")
+
+
+def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and summary of the overlap over stored, bucketed tables that manifests commit; the sets stored in two versions, of which the last counts."""
+    root, buckets = scratch(spark, "stored"), buckets_for(0)
+    tables = [ManifestTable(spark, f"{root}/{name}") for name in ("universe", "website", "wikidata", "overlap")]
+    named = lambda df: df.withColumnsRenamed({"entity_type": "osm_type", "entity_id": "osm_id"})
+    store_keys(tables[1], named(set_b(spark, d)), buckets)
+    for table, rows in zip(tables, (occurrences(spark, d), set_a(spark, d), set_b(spark, d)), strict=False):
+        store_keys(table, named(rows), buckets)
+    found = compute_stored_overlap(*tables)
+    return tables[-1].read(), summary_frame(spark, found)
+
+
+def stored_overlap_rows(spark, d):
+    """Classified rows as stored: three bucketed inputs joined without an exchange."""
+    return _stored(spark, d)[0]
+
+
+def stored_overlap_summary(spark, d):
+    """The summary as it was counted while the rows were written."""
+    return _stored(spark, d)[1]
 
 
 def stream_universe(spark, d):
@@ -349,6 +403,28 @@ def stream_universe(spark, d):
     return spark.read.schema(IDENTITY).parquet(out.as_uri())
 
 
+def stream_categories(spark, d):
+    """Categories that follow three streams over three increments: customers with the first set, suppliers, the second set."""
+    root = _folder(spark, "categories")
+    raw, a, b, out, checkpoint = (root / n for n in ("raw", "a", "b", "out", "checkpoint"))
+    named = lambda df: df.select(F.col("entity_type").alias("osm_type"), F.col("entity_id").alias("osm_id"))
+    for folder in (raw, a, b):
+        _put(named(occurrences(spark, d)).limit(0), folder)
+    increments = ([(occurrences(spark, d).filter("entity_type = 'customer'"), raw), (_rows_a(spark, d), a)], [(occurrences(spark, d).filter("entity_type = 'supplier'"), raw)], [(_rows_b(spark, d), b)])
+    for increment in increments:
+        for rows, folder in increment:
+            _put(named(rows), folder)
+        follow_categories(spark, *(p.as_uri() for p in (raw, a, b, out, checkpoint))).awaitTermination()
+    return current(spark.read.schema(CHANGES).parquet(out.as_uri()))
+
+
+_WAYS = """w AS (SELECT l_orderkey AS id, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p, max(l_quantity) AS most FROM lineitem GROUP BY l_orderkey),
+    r AS (SELECT id, CASE WHEN most > 10 THEN list_append(p, p[1]) ELSE p END AS r FROM w)"""
+_FIRST3 = "(len(r) >= 3 AND r[1] <> r[2] AND r[1] <> r[3] AND r[2] <> r[3] AND r[-1] = r[1])"
+_DISTINCT3 = "(len(r) >= 4 AND r[-1] = r[1] AND len(list_distinct(r[1:len(r) - 1])) >= 3)"
+_STORED = _WITH + """, o AS (SELECT entity_type AS osm_type, entity_id AS osm_id, in_a AS website, in_b AS wikidata,
+    CASE overlap_category WHEN 'a_only' THEN 'website_only' WHEN 'b_only' THEN 'wikidata_only' ELSE overlap_category END AS overlap_category FROM c) """
+
 _SQL = {
     "website_source": """SELECT DISTINCT 'way' AS osm_type, o_custkey AS osm_id FROM orders WHERE (o_orderstatus = 'F' AND o_totalprice > 400000) OR (o_orderstatus = 'P' AND o_totalprice < 2000)
         UNION SELECT 'relation', l_suppkey FROM lineitem WHERE l_quantity >= 50 AND l_returnflag = 'R' AND l_discount >= 0.1""",
@@ -357,18 +433,21 @@ _SQL = {
     "read_union_drift": """SELECT c_custkey AS id, c_mktsegment AS segment, c_name AS name FROM customer UNION ALL SELECT CAST(c_custkey + 0.5 AS DECIMAL(20, 1))::BIGINT, NULL, c_name FROM customer
         UNION ALL SELECT s_suppkey, NULL, NULL FROM supplier UNION ALL SELECT n_nationkey, n_regionkey::VARCHAR, NULL FROM nation""",
     "sharded_rows": _WITH + "SELECT entity_type AS osm_type, entity_id AS osm_id, in_a, in_b, overlap_category, true AS on_its_shard FROM c",
-    "pbf_identities": """WITH w AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p, max(l_quantity) AS most FROM lineitem GROUP BY l_orderkey),
-        r AS (SELECT l_orderkey, CASE WHEN most > 10 THEN list_append(p, p[1]) ELSE p END AS r FROM w)
-        SELECT 'way' AS osm_type, l_orderkey AS osm_id FROM r WHERE len(r) >= 3 AND r[1] <> r[2] AND r[1] <> r[3] AND r[2] <> r[3] AND r[-1] = r[1] AND l_orderkey > 0
-        UNION ALL SELECT 'relation', p_partkey FROM part WHERE p_size < 20 AND p_partkey > 0""",
+    "pbf_identities": f"""WITH {_WAYS} SELECT 'way' AS osm_type, id AS osm_id FROM r WHERE {_FIRST3} AND id > 0 UNION ALL SELECT 'relation', p_partkey FROM part WHERE p_size < 20 AND p_partkey > 0""",
+    "pbf_loose_rings": f"WITH {_WAYS} SELECT id AS osm_id FROM r WHERE {_DISTINCT3} AND id > 0",
+    "ring_predicate": f"WITH {_WAYS} SELECT id AS osm_id, coalesce({_FIRST3}, false) AS first3, coalesce({_DISTINCT3}, false) AS distinct3 FROM r",
+    "relation_predicate": "SELECT p_partkey AS osm_id, p_size < 20 AS is_area FROM part",
+    "stored_overlap_rows": _STORED + "SELECT osm_type, osm_id, website, wikidata, overlap_category FROM o",
+    "stream_categories": _STORED + "SELECT osm_type, osm_id, website, wikidata, overlap_category FROM o",
+    "stored_overlap_summary": _STORED + _SUMMARY.format("o").replace("'a_only'", "'website_only'").replace("'b_only'", "'wikidata_only'"),
     "stream_universe": "SELECT DISTINCT 'way' AS osm_type, o_custkey AS osm_id FROM orders UNION SELECT 'relation', l_suppkey FROM lineitem",
     "scan_project_key": "SELECT 'customer' AS entity_type, CAST(o_custkey AS BIGINT) AS entity_id FROM orders",
     "filter_type_in": "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase')",
     "filter_status_text": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND length(trim(coalesce(o_orderpriority, ''))) > 0",
     "filter_dual_field_or": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE length(trim(coalesce(o_orderpriority, ''))) > 0
         AND ((o_orderstatus = 'F' AND o_totalprice > 400000) OR (o_orderstatus = 'P' AND o_totalprice < 2000))""",
-    "text_blank_variants": """SELECT id::INT AS id, length(trim(coalesce(t, ''))) > 0 AS present FROM (VALUES (0, NULL), (1, ''), (2, ' '), (3, chr(160)), (4, chr(12288)),
-        (5, ' ' || chr(8195) || 'x' || chr(160)), (6, chr(9)), (7, chr(10)), (8, ' a ')) AS v(id, t)""",
+    "text_blank_variants": """SELECT c_custkey, length(trim(coalesce(CASE c_nationkey WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' WHEN 3 THEN chr(160) WHEN 4 THEN chr(12288) WHEN 5 THEN chr(9) WHEN 6 THEN chr(10)
+        ELSE ' ' || chr(8195) || c_mktsegment || chr(160) END, ''))) > 0 AS present FROM customer""",
     "membership_a": f"WITH {_A} SELECT * FROM a",
     "membership_b": f"WITH {_B} SELECT * FROM b",
     "membership_link_semi": f"SELECT DISTINCT entity_type, entity_id FROM ({_LINKS}) JOIN ({_DOCS}) USING (project, document_id)",
@@ -378,6 +457,8 @@ _SQL = {
     "left_join_flags": _WITH + "SELECT * FROM f",
     "overlap_rows": _WITH + "SELECT * FROM c",
     "overlap_summary": _WITH + _SUMMARY.format("c"),
+    "overlap_summary_of_rows": _WITH + _SUMMARY.format("c"),
+    "overlap_rows_by_bitmaps": _WITH + "SELECT * FROM c",
     "overlap_summary_empty": _WITH + _SUMMARY.format("(SELECT * FROM c WHERE entity_id < 0)"),
     "overlap_by_type": _WITH + "SELECT entity_type, overlap_category, count(*) AS count FROM c GROUP BY ALL",
     "category_both": _WITH + "SELECT * FROM u INTERSECT SELECT * FROM a INTERSECT SELECT * FROM b",
@@ -387,11 +468,6 @@ _SQL = {
     "orphan_members": f"WITH {_A}, {_LATE} SELECT * FROM a EXCEPT SELECT * FROM l",
     "shard_histogram": _WITH + "SELECT ('0x' || substr(md5(entity_type || ':' || entity_id), 31, 2))::BIGINT % 64 AS shard_id, count(*) AS count FROM u GROUP BY 1",
     "shard_sorted_rows": _WITH + "SELECT *, ('0x' || substr(md5(entity_type || ':' || entity_id), 31, 2))::BIGINT % 64 AS shard_id FROM c",
-    "ring_predicate": f"""SELECT id::INT AS id, coalesce(len(r) >= 3 AND r[1] <> r[2] AND r[1] <> r[3] AND r[2] <> r[3] AND r[-1] = r[1], false) AS first3,
-        coalesce(len(r) >= 4 AND r[-1] = r[1] AND len(list_distinct(r[1:len(r) - 1])) >= 3, false) AS distinct3
-        FROM (VALUES {", ".join(f"({i}, {r}::BIGINT[])" for i, r in enumerate(_RINGS))}) AS v(id, r)""",
-    "relation_predicate": "SELECT id::INT AS id, len(list_filter(tags, lambda t: t.k = 'type' AND t.v IN ('multipolygon', 'boundary'))) > 0 AS is_area FROM (VALUES "
-    + ", ".join(f"({i}, {[dict(k=k, v=v) for k, v in t]}::STRUCT(k VARCHAR, v VARCHAR)[])" for i, t in enumerate(_TAGS)) + ") AS x(id, tags)",
     "union_by_name_drift": "SELECT c_custkey AS id, c_mktsegment AS segment FROM customer UNION ALL BY NAME SELECT s_suppkey AS id FROM supplier",
     "inventory_intersection": _WITH + "SELECT * FROM a INTERSECT SELECT * FROM b",
     "alignment_gap": f"WITH {_A}, {_B}, {_LATE}" + """, m AS (SELECT 'a' AS member_set, * FROM a UNION ALL SELECT 'b', * FROM b)

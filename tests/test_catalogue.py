@@ -26,6 +26,11 @@ def test_query_equals_sql(spark, sf_dir, name):
     compare(spark, catalogue.queries()[name], catalogue.oracle_sql()[name], sf_dir)
 
 
+@pytest.mark.parametrize("name", ["pbf_identities", "pbf_loose_rings", "ring_predicate", "overlap_summary", "stored_overlap_rows"])
+def test_query_equals_sql_on_more_rows(spark, name):
+    compare(spark, catalogue.queries()[name], catalogue.oracle_sql()[name], "/root/testdata/sf0.01")
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
