@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setlake.llm import arrow_files, bpe, collocations, exact_dedup, langid, line_dedup, media, mixing, packing, secrets, simhash, spelling, substring_dedup
+from setlake.llm.common import materialise
 
 #: Vocabulary files; any files of the same kinds can be given to the operators.
 TOKENIZER_JSON, TOKENIZER_RANKS = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken"))
@@ -65,8 +66,8 @@ def secret_base_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables hold no images, so each vector is drawn as one."""
-    images = media.render_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    """The tables hold no images, so each vector is drawn as one, and a quarter of the images get an edited copy that is to be found."""
+    images = materialise(media.with_edits(media.render_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))), "images")
     return media.copy_classes(images)
 
 

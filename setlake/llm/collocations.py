@@ -37,7 +37,7 @@ from setlake.llm.mph import PerfectHash, build, mixed, spread
 #: Counters of a level's bound, candidates and words of a round, keys of a shard, counters of a piece. Together these bound what a task holds and what is broadcast.
 SLOTS, CANDIDATES, WORDS, SHARD, PIECE = 1 << 22, 1 << 21, 1 << 19, 1 << 16, 1 << 16
 #: Distinct keys or words that a task holds before it passes them on, numbers that are looked up at once, and slots that are held for one ``bincount``.
-HELD, CHUNK, LOT = 1 << 18, 1 << 19, 1 << 21
+HELD, CHUNK, LOT = 1 << 17, 1 << 19, 1 << 20
 #: First stage of a tree of sums: tasks are dealt to so many branches.
 BRANCHES = 16
 #: Letters to lower case, a tab to a space, what ends a piece to a line feed.
@@ -57,6 +57,13 @@ def _texts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that few values are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """Rows lang, word, n."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +76,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(list(words), pa.binary()).cast(pa.string()), pa.array(list(words.values()), pa.int64())], names=["lang", "word", "n"])
             held.clear()
 
-        for batch in batches:
+        for batch in _slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 held.setdefault(lang, Counter()).update(tokens(text))
             if sum(map(len, held.values())) > HELD:
@@ -100,7 +107,7 @@ def numbered(texts: DataFrame, frequent: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], shared=shared, final=final) -> Iterator[pa.RecordBatch]:
             begin_work(__name__)
             none = _Numbers()
-            for batch in batches:
+            for batch in _slices(batches):
                 out = []
                 for lang, text, before in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                     ids = np.array(list(map(shared.value.get(lang, none).__getitem__, tokens(text))), np.int32)
@@ -143,41 +150,45 @@ _PARTS = ["piece", "branch", "width", "counts"]
 _PART = "piece long, branch long, width long, counts binary"
 
 
-def _summed(parts: DataFrame) -> DataFrame:
-    """Pieces summed in a tree, first within a branch, then over branches; a task holds one piece."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _one_piece(piece: int, branch: int, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([branch], pa.int64()), pa.array([8], pa.int64()), pa.array([counts.tobytes()], pa.binary())], names=_PARTS)
+
+
+def _summed(parts: DataFrame, least: int | None = None) -> DataFrame:
+    """Pieces summed in a tree, first within a branch, then over branches; a task holds one piece. With ``least`` the sums leave as bits: whether each reaches it."""
+    def run(batches: Iterator[pa.RecordBatch], bits: bool) -> Iterator[pa.RecordBatch]:
         begin_work(__name__)
+        made = lambda piece, branch, counts: pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([np.packbits(counts >= least, bitorder="little").tobytes()], pa.binary())], names=["piece", "bits"]) if bits else _one_piece(piece, branch, counts)
         held, key = None, None
-        for batch in batches:
+        for batch in _slices(batches, 16):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != row[:2] and held is not None:
-                    yield from _one_piece(*key, held)
+                    yield made(*key, held)
                     held = None
                 part = np.frombuffer(row[3], np.dtype(f"u{row[2]}")).astype(np.uint64)
                 held, key = part if held is None else held + part, row[:2]
         if held is not None:
-            yield from _one_piece(*key, held)
-
-    for by in (["piece", "branch"], ["piece"]):
-        if by == ["piece"]:
-            parts = parts.withColumn("branch", F.lit(0).cast("long"))
-        parts = parts.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, _PART)
-    return parts
+            yield made(*key, held)
 
+    parts = parts.repartition("piece", "branch").sortWithinPartitions("piece", "branch").mapInArrow(lambda b: run(b, False), _PART)
+    parts = parts.withColumn("branch", F.lit(0).cast("long")).repartition("piece").sortWithinPartitions("piece")
+    return parts.mapInArrow(lambda b: run(b, False), _PART) if least is None else parts.mapInArrow(lambda b: run(b, True), "piece long, bits binary")
 
-def _one_piece(piece: int, branch: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([branch], pa.int64()), pa.array([8], pa.int64()), pa.array([counts.tobytes()], pa.binary())], names=_PARTS)
 
-
-def _reaching(pieces: DataFrame, n: int, least: int) -> np.ndarray:
-    """One bit for each of ``n`` counters: whether it reaches ``least``. The driver gets n / 8 bytes, bounded by SLOTS and CANDIDATES."""
+def _reaching(pieces: DataFrame, least: int) -> DataFrame:
+    """One bit for each counter of pieces: whether it reaches ``least``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = [np.packbits(np.frombuffer(c, np.uint64) >= least, bitorder="little").tobytes() for c in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], names=["piece", "bits"])
 
+    return pieces.mapInArrow(run, "piece long, bits binary")
+
+
+def _gathered(bits: DataFrame, n: int) -> np.ndarray:
+    """The bits of ``n`` counters. The driver gets n / 8 bytes, bounded by SLOTS and CANDIDATES."""
     out = np.zeros(-(-n // PIECE) * PIECE // 8, np.uint8)
-    for r in pieces.mapInArrow(run, "piece long, bits binary").collect():
+    for r in bits.collect():
         out[r["piece"] * PIECE // 8 :][: len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     return out
 
@@ -186,30 +197,29 @@ def _on(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _counted(rows: DataFrame, n: int, slots: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Pieces of the sum of all tasks' counts of the slots (below ``n``, or -1) of keys."""
+def _counted(rows: DataFrame, n: int, slots: Callable[[np.ndarray], np.ndarray], least: int | None = None) -> DataFrame:
+    """Pieces of the sum of all tasks' counts of the slots (below ``n``, or -1) of keys, or their bits by ``least``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         begin_work(__name__)
-        counts, lot = np.zeros(n, np.int64), []
-        for batch in chain(batches, [None]):
+        counts, lot = np.zeros(n, np.uint32), []
+        for batch in chain(_slices(batches), [None]):
             for _, ids, at in _chunks(batch.column(0).to_pylist()) if batch is not None else ():
                 found = slots(_pairs(ids, at))
                 lot.append(found[found >= 0].astype(np.uint32))
             if lot and (batch is None or sum(map(len, lot)) > LOT):
-                counts += np.bincount(np.concatenate(lot), minlength=n)
+                counts += np.bincount(np.concatenate(lot), minlength=n).astype(np.uint32)  # of one task: it has less than 2**32 words
                 lot.clear()
         yield from _pieces(TaskContext.get().partitionId(), counts)
 
-    return _summed(rows.mapInArrow(run, _PART))
+    return _summed(rows.mapInArrow(run, _PART), least)
 
 
 def _bounded(rows: DataFrame, least: int) -> np.ndarray:
     """Which hashed counters reach ``least``."""
     n = SLOTS
-    pieces = _counted(rows, n, lambda keys: (mixed(keys, 62) % np.uint64(n)).astype(np.int64))
-    return _reaching(pieces, n, least)
+    return _gathered(_counted(rows, n, lambda keys: (mixed(keys, 62) % np.uint64(n)).astype(np.int64), least), n)
 
 
 def _candidates(rows: DataFrame, bound: np.ndarray) -> DataFrame:
@@ -219,7 +229,7 @@ def _candidates(rows: DataFrame, bound: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin_work(__name__)
         held = np.zeros(0, np.uint64)
-        for batch in chain(batches, [None]):
+        for batch in chain(_slices(batches), [None]):
             for _, ids, at in _chunks(batch.column(0).to_pylist()) if batch is not None else ():
                 keys = _pairs(ids, at)
                 held = np.union1d(held, keys[_on(shared.value, (mixed(keys, 62) % np.uint64(n)).astype(np.int64))])
@@ -267,11 +277,11 @@ def _level(rows: DataFrame, least: int, onward: bool) -> tuple[DataFrame, DataFr
         own_found = materialise(pieces.mapInArrow(frequent, "id long, head long, tail long, n long"), "frequent")
         found = own_found if found is None else found.unionByName(own_found)
         if onward:
-            reached, last_round = spark.sparkContext.broadcast(_reaching(pieces, len(table), least)), own == rounds - 1
+            reached, last_round = spark.sparkContext.broadcast(_gathered(_reaching(pieces, least), len(table))), own == rounds - 1
 
             def turn(batches: Iterator[pa.RecordBatch], shared=shared, reached=reached, base=base, own=own, last_round=last_round) -> Iterator[pa.RecordBatch]:
                 begin_work(__name__)
-                for batch in batches:
+                for batch in _slices(batches):
                     rows, before = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                     for part, ids, at in _chunks(rows):
                         new = np.full(len(ids), -1, np.int32)

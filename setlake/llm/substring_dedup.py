@@ -32,6 +32,7 @@ through.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from hashlib import blake2b
@@ -44,6 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setlake.llm.common import arrow_rows, at_path, begin_work, drop_scratch, materialise, numbered_columns, release_shuffles, scratch, with_key
+from setlake.sinks.manifest import Store
 
 WINDOW, GRAM = 20, 8
 #: Runs of a kind that the index keeps before it compacts them, and batches that a table is taken in.
@@ -279,8 +281,20 @@ class Runs:
         name = "run_" + path.rsplit("-", 1)[1]
         merged = self.merge(rows.repartition(self.buckets, *self.keys)).sortWithinPartitions(*self.keys)
         merged.write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", path).saveAsTable(name)
-        self.tables[name] = at_path(self.spark.table(name), path)
-        return self.tables[name]
+        return self._known(name, path)
+
+    def _known(self, name: str, path: str) -> DataFrame:
+        """The run as a table whose plan knows its buckets; the catalogue's entry is needed no longer than that."""
+        self.tables[path] = at_path(self.spark.table(name), path)
+        self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
+        return self.tables[path]
+
+    def adopt(self, path: str) -> None:
+        """Take in a run that another session wrote."""
+        name, keys = "run_" + path.rsplit("-", 1)[1], ", ".join(self.keys)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(path).schema)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+        self._known(name, path)
 
     def beside(self, run: DataFrame) -> tuple[DataFrame, list[Column]]:
         """``run`` with the rows of the same keys of all other runs, merge-joined, and the columns that hold them as structs."""
@@ -297,14 +311,16 @@ class Runs:
             self.write(reduce(DataFrame.unionByName, old.values()))
             self.drop(old)
 
-    def drop(self, names: Iterable[str]) -> None:
-        for name in list(names):
-            drop_scratch(self.spark, self.tables.pop(name))
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    def drop(self, paths: Iterable[str]) -> None:
+        for path in list(paths):
+            drop_scratch(self.spark, self.tables.pop(path))
 
 
 class FingerprintIndex:
-    """The runs of all batches so far: of grams, and of windows whose grams differ. Batches must come in ascending order of keys."""
+    """The runs of all batches so far: of grams, and of windows whose grams differ. Batches must come in ascending order of keys.
+
+    :meth:`save` and :meth:`open` carry it from session to session: a small manifest names the runs, which stay where they are.
+    """
 
     def __init__(self, spark: SparkSession, buckets: int | None = None, fan: int = FAN) -> None:
         self.spark = spark
@@ -312,6 +328,27 @@ class FingerprintIndex:
         self.grams = Runs(spark, ["gram"], _merged_grams, buckets, fan)
         self.windows = Runs(spark, ["h", "h2"], _merged_windows, buckets, fan)
 
+    def save(self, root: str) -> None:
+        """Publish the runs of this moment under ``root`` as the next manifest."""
+        store, runs = Store(self.spark, root), {"grams": self.grams, "windows": self.windows}
+        number = max((int(n[:8]) for n in store.listed("") if n[:8].isdigit()), default=0) + 1
+        if not store.put(f"{number:08d}.json", json.dumps({"buckets": self.grams.buckets, "fan": self.grams.fan} | {k: list(r.tables) for k, r in runs.items()})):
+            raise RuntimeError(f"another session saved manifest {number} of {root}")
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> FingerprintIndex:
+        """The index as it was last saved under ``root``."""
+        store = Store(spark, root)
+        last = max((n for n in store.listed("") if n[:8].isdigit()), default=None)
+        if last is None:
+            raise FileNotFoundError(f"no index is saved in {root}")
+        saved = json.loads(store.text(last))
+        index = cls(spark, saved["buckets"], saved["fan"])
+        for name, runs in (("grams", index.grams), ("windows", index.windows)):
+            for path in saved[name]:
+                runs.adopt(path)
+        return index
+
     def close(self) -> None:
         """Delete all runs."""
         for runs in (self.grams, self.windows):
@@ -380,14 +417,16 @@ def _with_removals(df: DataFrame, batches: int, id_col: str, text_col: str) -> I
     keyed, _ = with_key(df, id_col, text_col)
     bounds = sorted(set(keyed.approxQuantile("_key", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
     index, key = FingerprintIndex(spark), F.col("_key")
-    for low, high in zip([None, *bounds], [*bounds, None], strict=True):
-        part = keyed if low is None else keyed.filter(key > low)
-        part = part if high is None else part.filter(key <= high)
-        as_bytes = lambda d: d.select(key, F.col(text_col).cast("binary"))
-        gone = index.add(as_bytes(part), None if low is None else as_bytes(keyed.filter(key <= low)))
-        packed = gone.groupBy("key").agg(F.collect_list(F.shiftleft("lo", 24) + F.col("n")).alias("_gone")).withColumnRenamed("key", "_key")
-        yield part.join(packed, "_key", "left")
-    index.close()
+    try:
+        for low, high in zip([None, *bounds], [*bounds, None], strict=True):
+            part = keyed if low is None else keyed.filter(key > low)
+            part = part if high is None else part.filter(key <= high)
+            as_bytes = lambda d: d.select(key, F.col(text_col).cast("binary"))
+            gone = index.add(as_bytes(part), None if low is None else as_bytes(keyed.filter(key <= low)))
+            packed = gone.groupBy("key").agg(F.collect_list(F.shiftleft("lo", 24) + F.col("n")).alias("_gone")).withColumnRenamed("key", "_key")
+            yield part.join(packed, "_key", "left")
+    finally:
+        index.close()
 
 
 def repeated_words(df: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -252,6 +252,41 @@ def test_index_compacts(spark, docs):
     assert not index.grams.tables and not spark.sql("SHOW TABLES").filter("tableName LIKE 'run_%'").count()
 
 
+def test_an_index_lives_from_session_to_session(spark, docs, tmp_path):
+    """Three batches, each in a session of its own, give what one session gives; a compaction falls between."""
+    batch = lambda part: docs.filter((F.col("doc_id") >= 20 * part) & (F.col("doc_id") < 20 * (part + 1))).select("doc_id", F.col("text").cast("binary"))
+    earlier = lambda part: docs.filter(F.col("doc_id") < 20 * part).select("doc_id", F.col("text").cast("binary")) if part else None
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    whole = substring_dedup.FingerprintIndex(spark, 3, 2)
+    wanted = [rows(whole.add(batch(k), earlier(k))) for k in range(3)]
+    whole.close()
+    root = tmp_path.as_uri()
+    with pytest.raises(FileNotFoundError):
+        substring_dedup.FingerprintIndex.open(spark, root)
+    substring_dedup.FingerprintIndex(spark, 3, 2).save(root)
+    for k in range(3):
+        session = spark.newSession()
+        index = substring_dedup.FingerprintIndex.open(session, root)
+        assert not session.sql("SHOW TABLES").filter("tableName LIKE 'run_%'").count()
+        assert rows(index.add(*(session.createDataFrame(d.toPandas(), "doc_id long, text binary") if d is not None else None for d in (batch(k), earlier(k))))) == wanted[k]
+        index.save(root)
+    assert any(wanted) and len(index.grams.tables) == 2
+    index.close()
+
+
+def test_map_columns(spark):
+    """Rows equal in id and text that differ in a map, and maps in structs."""
+    rows = [(1, "a", {"x": 1}), (1, "a", {"x": 2}), (2, "b", None), (2, "b", None), (3, "a", {})]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>").withColumn("s", F.struct("m"))
+    got = exact_dedup.drop_exact_duplicates(df)
+    assert got.dtypes == df.dtypes and sorted(r.doc_id for r in got.collect()) == [2, 3]
+
+
+def test_line_dedup_is_native(docs):
+    plan = line_dedup.repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not any(name in plan for name in ("EvalPython", "InArrow", "InPandas"))
+
+
 def test_many_lines_of_one_text(spark):
     """Time grows with the lines, not with lines times removed lines."""
     text = "\n".join(["one two three four five"] * 30_000 + [f"own line number {i} here" for i in range(30_000)])
