@@ -418,7 +418,7 @@ def test_images_are_told_apart_by_pixels(spark):
 def test_recall_of_copies(spark):
     """Of the copies that comparing all their descriptors finds, at least 0.9 are found by bands, for every edit."""
     rng, n = np.random.default_rng(11), 20
-    edits = {"noise": lambda v: np.clip(v + rng.normal(0, 5, v.shape), 0, 255), "crop": lambda v: v[10:80, 14:90], "scaled": lambda v: media._scaled(v, 0.75), "turned": lambda v: turned(v, 30)}
+    edits = {"noise": lambda v: np.clip(v + rng.normal(0, 5, v.shape), 0, 255), "crop": lambda v: v[10:80, 14:90], "crop of 40": lambda v: v[20:60, 30:70], "scaled": lambda v: media._scaled(v, 0.75), "turned": lambda v: turned(v, 30)}
     originals = [picture(100 + i) for i in range(n)]
     images = originals + [np.ascontiguousarray(np.rint(edit(v)).astype(np.uint8)) for edit in edits.values() for v in originals]
     got = {r.image_id: r.class_id for r in media.copy_classes(spark.createDataFrame([(i, bytearray(v.tobytes()), v.shape[1]) for i, v in enumerate(images)], "image_id long, pixels binary, width int")).collect()}
@@ -428,6 +428,37 @@ def test_recall_of_copies(spark):
         assert sum(got[k * n + i] == i for i in known) >= 0.9 * len(known) >= 0.8 * n, name
 
 
+def test_small_crops_are_found_as_far_as_they_have_features():
+    """Crops of 40 of 96 pixels all link; of 32 half have too few keypoints, whatever the tables."""
+    linked = {size: sum((0, 1) in linked_by_brute_force([p, np.ascontiguousarray(p[20 : 20 + size, 30 : 30 + size])]) for p in map(picture, range(100, 120))) for size in (40, 32)}
+    assert linked[40] == 20 and linked[32] >= 8
+
+
+@pytest.mark.parametrize("n", [30, 5000])
+def test_consensus_takes_time_in_proportion_to_matches(n):
+    """Three tenths of the matches follow one turn, scale and shift; and none do."""
+    rng = np.random.default_rng(n)
+    x, y, turn = rng.integers(0, 2000, n), rng.integers(0, 2000, n), rng.integers(0, 1024, n)
+    packed = lambda x, y, t: x.astype(np.int64) << 34 | y.astype(np.int64) << 12 | 1 << 10 | t
+    moved = (x + 1j * y) * 0.8 * np.exp(0.6j) + 2500 + 500j
+    good = rng.random(n) < 0.3
+    there = [np.where(good, np.rint(part), rng.integers(0, 3000, n)) for part in (moved.real, moved.imag)]
+    at_b = packed(*there, np.where(good, (turn + 98) % 1024, rng.integers(0, 1024, n)))
+    stray = packed(rng.integers(0, 3000, n), rng.integers(0, 3000, n), rng.integers(0, 1024, n))
+    began = time.monotonic()
+    assert media._turned(packed(x, y, turn), at_b, max(6, n // 8)) and not media._turned(packed(x, y, turn), stray, max(6, n // 8))
+    assert time.monotonic() - began < 5
+
+
+def test_planted_edits_are_found(spark):
+    vectors = [(i, [float(x) for x in np.random.default_rng(i).normal(size=64)]) for i in range(60)]
+    images = media.with_edits(media.render_vectors(spark.createDataFrame(vectors, "vec_id long, embedding array<float>")), 2).cache()
+    copies = {r.image_id for r in images.collect()} - set(range(60))
+    got = {r.image_id: r.class_id for r in media.copy_classes(images).collect()}
+    assert len(copies) > 20 and sum(got[c] == got[-1 - c] == c for c in copies) >= 0.95 * len(copies)
+    assert len({got[i] for i in range(60)}) == 60
+
+
 def test_drawn_vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(6, 64))
