@@ -23,6 +23,7 @@ from setlake.session import scratch
 from setlake.sinks.manifest import ManifestTable
 from setlake.sinks.pbf import write_pbf
 from setlake.sources.files import parquet_files, read_union
+from setlake.sources.pbf_function import register_function, stretches
 from setlake.sources.text import WebsiteSource, WikidataSource
 from setlake.streaming.categories import CHANGES, current, follow_categories
 from setlake.streaming.universe import grow_universe
@@ -353,10 +354,14 @@ def sharded_rows(spark, d):
     return O.sharded(rows, 64).withColumn("on_its_shard", F.spark_partition_id() == P.shard(F.col("osm_type"), F.col("osm_id"), 64))
 
 
+def _pbf_files(spark: SparkSession, d: str) -> list[Path]:
+    """Orders and parts as PBF files."""
+    return write_pbf(_ways(spark, d).unionByName(_areas(spark, d), allowMissingColumns=True), _folder(spark, "pbf"))
+
+
 def _pbf(spark: SparkSession, d: str, ring_rule: str = "first3") -> DataFrame:
     """Orders and parts written as PBF files and scanned, in stretches far smaller than a file."""
-    files = write_pbf(_ways(spark, d).unionByName(_areas(spark, d), allowMissingColumns=True), _folder(spark, "pbf"))
-    return scan(spark, files, ring_rule, split_bytes=1 << 16)
+    return scan(spark, _pbf_files(spark, d), ring_rule, split_bytes=1 << 16)
 
 
 def pbf_identities(spark, d):
@@ -369,6 +374,13 @@ def pbf_loose_rings(spark, d):
     return _pbf(spark, d, "distinct3").filter("osm_type = 'way'").select("osm_id")
 
 
+def pbf_scan_function(spark, d):
+    """The scanner as a table function of SQL, over the same files."""
+    register_function(spark)
+    cuts = stretches(spark, _pbf_files(spark, d), split_bytes=1 << 16)
+    return spark.sql("SELECT osm_type, osm_id FROM pbf_scan(TABLE({cuts}), 'identities', 'first3')", cuts=cuts)
+
+
 def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Rows and summary of the overlap over stored, bucketed tables that manifests commit; the sets stored in two versions, of which the last counts."""
     root, buckets = scratch(spark, "stored"), buckets_for(0)
@@ -434,6 +446,7 @@ _SQL = {
         UNION ALL SELECT s_suppkey, NULL, NULL FROM supplier UNION ALL SELECT n_nationkey, n_regionkey::VARCHAR, NULL FROM nation""",
     "sharded_rows": _WITH + "SELECT entity_type AS osm_type, entity_id AS osm_id, in_a, in_b, overlap_category, true AS on_its_shard FROM c",
     "pbf_identities": f"""WITH {_WAYS} SELECT 'way' AS osm_type, id AS osm_id FROM r WHERE {_FIRST3} AND id > 0 UNION ALL SELECT 'relation', p_partkey FROM part WHERE p_size < 20 AND p_partkey > 0""",
+    "pbf_scan_function": f"""WITH {_WAYS} SELECT 'way' AS osm_type, id AS osm_id FROM r WHERE {_FIRST3} AND id > 0 UNION ALL SELECT 'relation', p_partkey FROM part WHERE p_size < 20 AND p_partkey > 0""",
     "pbf_loose_rings": f"WITH {_WAYS} SELECT id AS osm_id FROM r WHERE {_DISTINCT3} AND id > 0",
     "ring_predicate": f"WITH {_WAYS} SELECT id AS osm_id, coalesce({_FIRST3}, false) AS first3, coalesce({_DISTINCT3}, false) AS distinct3 FROM r",
     "relation_predicate": "SELECT p_partkey AS osm_id, p_size < 20 AS is_area FROM part",

@@ -290,3 +290,24 @@ def test_files_of_other_stores(tmp_path):
     assert rows_of(path.as_uri(), 50) == rows_of(path, 1000) == [("way", 1)]
     with pytest.raises(PBFReadError, match="not a file"):
         rows_of((tmp_path / "none").as_uri(), 50)
+
+
+def test_scanner_as_a_table_function(spark, tmp_path):
+    from setlake.sources.pbf_function import register_function, stretches
+
+    paths = [tmp_path / f"{n}.osm.pbf" for n in "ab"]
+    for k, path in enumerate(paths):
+        path.write_bytes(pbf([(i + k, [i, i + 1, i + 2, i]) for i in range(1, 60)] + [(500 + k, [7, 8, 7, 9, 10, 7])], [(7, [("type", "boundary")]), (8, [("name", "x")])], blocks=5))
+    register_function(spark)
+    cuts = stretches(spark, paths, 300)
+    assert cuts.rdd.getNumPartitions() == cuts.count() >= 6
+    rows = lambda df: sorted(map(repr, df.collect()))
+    register(spark)
+    read = lambda **o: spark.read.format("osmpbf").options(paths=json.dumps([str(p) for p in paths]), **o).load()
+    for given, options in (("", {}), (", 'identities', 'distinct3'", {"ring_rule": "distinct3"}), (", 'elements'", {"mode": "elements"})):
+        found = spark.sql(f"SELECT * FROM pbf_scan(TABLE({{cuts}}){given})", cuts=cuts)
+        assert found.columns == read(**options).columns and rows(found) == rows(read(**options))
+    for bad in ("pbf_scan(TABLE({cuts}), 'other')", "pbf_scan(1)"):
+        with pytest.raises(Exception, match="bad options|takes a table"):
+            spark.sql(f"SELECT * FROM {bad}", cuts=cuts).collect()
+    assert spark.sql("SELECT count(*) AS n FROM pbf_scan(TABLE({none}))", none=cuts.limit(0)).first().n == 0
