@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Files whose footers one process reads.
+LOCAL_FILES = 64
+
+
 class SourceDatasetError(ValueError):
     """A source tree breaks its contract."""
 
@@ -42,19 +47,50 @@ def parquet_files(directory: Path, what: str) -> list[Path]:
     return files
 
 
-def column_names(path: Path) -> list[str]:
-    """Column names from the footer."""
+def column_types(path: Path, columns: Sequence[str]) -> list[str | None] | None:
+    """The footer's types of ``columns``, None for one that is absent; None in all for a file that is no Parquet."""
     try:
-        return pq.read_schema(path).names
-    except (OSError, pa.ArrowException) as why:
-        raise SourceDatasetError(f"Parquet file cannot be read: {path}") from why
+        schema = pq.read_schema(path)
+    except (OSError, pa.ArrowException):
+        return None
+    return [str(schema.field(c).type) if c in schema.names else None for c in columns]
 
 
-def validate_columns(files: Iterable[Path], required: Sequence[str], what: str) -> None:
+def by_types(files: Sequence[Path], columns: Sequence[str], spark: SparkSession | None = None) -> dict[tuple[str | None, ...], list[Path]]:
+    """Files by the types of their ``columns``, in the order of their first file.
+
+    Footers of more than ``LOCAL_FILES`` files are read by tasks, if there is a session: the driver gets a row for each
+    distinct schema, with the numbers of its files.
+    """
+    def told(path: Path) -> str:
+        return json.dumps(column_types(path, columns))
+
+    groups: dict[str, list[int]] = {}
+    if spark is None or len(files) <= LOCAL_FILES:
+        for i, path in enumerate(files):
+            groups.setdefault(told(path), []).append(i)
+    else:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([told(Path(p)) for p in batch.column(1).to_pylist()], pa.string())], names=["i", "types"])
+
+        listed = spark.createDataFrame(pa.table({"i": list(range(len(files))), "path": [str(p) for p in files]}))
+        seen = listed.repartition(-(-len(files) // LOCAL_FILES)).mapInArrow(run, "i long, types string")
+        for r in seen.groupBy("types").agg(F.array_sort(F.collect_list("i")).alias("members")).collect():
+            groups[r["types"]] = r["members"]
+    out = {}
+    for types, members in sorted(groups.items(), key=lambda g: g[1][0]):
+        if (known := json.loads(types)) is None:
+            raise SourceDatasetError(f"Parquet file cannot be read: {files[members[0]]}")
+        out[tuple(known)] = [files[i] for i in members]
+    return out
+
+
+def validate_columns(files: Sequence[Path], required: Sequence[str], what: str, spark: SparkSession | None = None) -> None:
     """Every file has the required columns; more are fine, types are left to casts."""
-    for path in files:
-        if missing := sorted(set(required) - set(column_names(path))):
-            raise SourceDatasetError(f"{what} file lacks columns {', '.join(missing)}: {path}")
+    for types, members in by_types(files, required, spark).items():
+        if missing := sorted(c for c, t in zip(required, types, strict=True) if t is None):
+            raise SourceDatasetError(f"{what} file lacks columns {', '.join(missing)}: {members[0]}")
 
 
 def file_inventory(root: Path, files: Iterable[Path], label: str | None = None) -> list[dict]:
@@ -99,14 +135,9 @@ def read_union(spark: SparkSession, files: Sequence[Path], columns: Sequence[str
 
     Files are read in groups of equal footer types, so that each group keeps push-down and pruning.
     """
-    groups: dict[str, list[str]] = {}
-    for path in files:
-        schema = pq.read_schema(path)
-        key = repr([(c, str(schema.field(c).type) if c in schema.names else None) for c in columns])
-        groups.setdefault(key, []).append(str(path))
     out = None
-    for paths in groups.values():
-        part = spark.read.parquet(*paths)
+    for members in by_types(files, columns, spark).values():
+        part = spark.read.parquet(*map(str, members))
         for name in columns:
             if name not in part.columns:
                 part = part.withColumn(name, F.lit(None).cast("bigint" if name in bigints else "string"))

@@ -19,9 +19,10 @@ class WebsiteSource:
     files: list[Path]
 
     @classmethod
-    def validate(cls, root: Path) -> WebsiteSource:
+    def validate(cls, root: Path, spark: SparkSession | None = None) -> WebsiteSource:
+        """With a session the footers of many files are read by tasks."""
         files = parquet_files(root / "polygons", "website polygons")
-        validate_columns(files, WEBSITE_COLUMNS, "website polygons")
+        validate_columns(files, WEBSITE_COLUMNS, "website polygons", spark)
         return cls(root, files)
 
     def inventory(self) -> list[dict]:
@@ -38,14 +39,14 @@ class WikidataSource:
     documents: list[Path]
 
     @classmethod
-    def validate(cls, root: Path) -> WikidataSource:
+    def validate(cls, root: Path, spark: SparkSession | None = None) -> WikidataSource:
         """Links and the documents of each supported project; folders of other projects are not read."""
         links = parquet_files(root / "polygon_document_links", "link")
-        validate_columns(links, LINK_COLUMNS, "link")
+        validate_columns(links, LINK_COLUMNS, "link", spark)
         documents = []
         for project in PROJECTS:
             found = parquet_files(root / project / "documents", f"{project} document")
-            validate_columns(found, DOCUMENT_COLUMNS, f"{project} document")
+            validate_columns(found, DOCUMENT_COLUMNS, f"{project} document", spark)
             documents += found
         return cls(root, links, documents)
 

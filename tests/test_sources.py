@@ -40,7 +40,7 @@ def test_missing_columns_are_named_in_order(tmp_path):
         S.validate_columns([path], WEBSITE_COLUMNS, "website")
     (tmp_path / "b.parquet").write_bytes(b"no parquet")
     with pytest.raises(S.SourceDatasetError, match="cannot be read"):
-        S.column_names(tmp_path / "b.parquet")
+        S.validate_columns([path, tmp_path / "b.parquet"], ["osm_id"], "website")
 
 
 def test_union_of_drifting_schemas(spark, tmp_path):
@@ -311,3 +311,17 @@ def test_scanner_as_a_table_function(spark, tmp_path):
         with pytest.raises(Exception, match="bad options|takes a table"):
             spark.sql(f"SELECT * FROM {bad}", cuts=cuts).collect()
     assert spark.sql("SELECT count(*) AS n FROM pbf_scan(TABLE({none}))", none=cuts.limit(0)).first().n == 0
+
+
+def test_many_footers_are_read_by_tasks(spark, tmp_path, monkeypatch):
+    files = [parquet(tmp_path / f"{i:03d}.parquet", [{"osm_id": i}], {"osm_id": "int32" if i % 3 else "int64"}) for i in range(30)]
+    files += [parquet(tmp_path / f"{i:03d}.parquet", [{"osm_id": str(i), "t": "x"}]) for i in range(30, 40)]
+    here = S.by_types(files, ("osm_id", "t"))
+    monkeypatch.setattr(S, "LOCAL_FILES", 4)
+    assert S.by_types(files, ("osm_id", "t"), spark) == here and list(here) == [("int64", None), ("int32", None), ("string", "string")]
+    assert sorted(r.osm_id for r in read_union(spark, files, ("osm_id", "t")).collect()) == list(range(40))
+    with pytest.raises(S.SourceDatasetError, match="lacks columns t: .*000.parquet"):
+        S.validate_columns(files, ("osm_id", "t"), "x", spark)
+    (tmp_path / "011.parquet").write_bytes(b"no parquet")
+    with pytest.raises(S.SourceDatasetError, match="cannot be read: .*011.parquet"):
+        S.validate_columns(files, ("osm_id",), "x", spark)
