@@ -12,8 +12,10 @@ its rows. Buckets over ``bucket_rows`` are found by counting and take another ex
 fingerprints emit every variant within radius 3 split as 2 + 1 flipped bits, and members of a variant
 are linked to its smallest member that is one flip away; a variant has at most 2,081 members.
 
-Defined cases: null, empty and blank texts have fingerprint zero; rows that share an id, or have
-none, are documents of their own (see ``with_key``); an empty table gives an empty result.
+Defined cases: null, empty and blank texts have fingerprint zero; very long texts are hashed whole; a bit that just half of the
+hashes set is zero; repeated rows are nodes of one fingerprint; rows that share an id, or have none, are documents of their own
+(see ``with_key``), and the smallest id of a group, ties by that order, is its component; an empty table gives an empty result; columns of any name pass
+through.
 """
 
 from __future__ import annotations
