@@ -2,8 +2,8 @@
 
 Each stage is one operator over all that the stage before it kept, and its docstring states the operator's results for odd rows.
 Here: documents with a null or empty text, or one without a letter, go at the first stage; with no labelled row at all no language is
-known and every document goes; ids that are null or shared are documents of their own; columns of any name pass through
-up to the last stage; an empty table packs into nothing.
+known and every document goes; very long texts are whole at every stage, and are cut into sequences only by the last; ids that are null or shared are
+documents of their own; columns of any name pass through up to the last stage; an empty table packs into nothing.
 """
 
 from __future__ import annotations
