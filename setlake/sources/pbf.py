@@ -39,7 +39,7 @@ BATCH_ROWS, SPLIT_BYTES = 65_536, 128 << 20
 #: Field numbers of ways and relations in a group.
 KINDS = {"way": 3, "relation": 4}
 #: Where a blob may start: a length of at most MAX_HEADER, then the first field of its header.
-_START = re.compile(rb"(?=\x00(?:\x00..|\x01\x00\x00)[\x0a\x12\x18])", re.DOTALL)
+_START = re.compile(rb"\x00(?:\x00..|\x01\x00\x00)[\x0a\x12\x18]", re.DOTALL)
 
 IDENTITIES = T.StructType().add("source", "string").add("osm_type", "string").add("osm_id", "long")
 ELEMENTS = T.StructType([*IDENTITIES.fields]).add("refs", T.ArrayType(T.LongType())).add("tags", T.ArrayType(T.StructType().add("k", "string").add("v", "string")))
@@ -162,6 +162,14 @@ def _walked(file: _File, at: int, start: int) -> int:
     return at
 
 
+def _starts(data: bytes) -> Iterator[int]:
+    """Where headers may start, overlapping ones included."""
+    at = 0
+    while found := _START.search(data, at):
+        yield found.start()
+        at = found.start() + 1
+
+
 def first_blob(file: _File, start: int) -> int:
     """Offset of the first blob at or behind ``start``.
 
@@ -174,12 +182,11 @@ def first_blob(file: _File, start: int) -> int:
     if low <= 0:
         return _walked(file, 0, start)
     data, leads = file.hold(low, start + 4 + MAX_HEADER), {}
-    for m in _START.finditer(data, 0, start - low + 5):
-        if (at := low + m.start()) <= start:
-            try:
-                leads[at] = file.head(at)[2]
-            except (ValueError, IndexError):
-                continue
+    for found in _starts(data[: start - low + 5]):
+        try:
+            leads[low + found] = file.head(low + found)[2]
+        except (ValueError, IndexError):
+            continue
     lands: dict[int, bool] = {}
     for at in sorted(leads, reverse=True):
         to = leads[at]
@@ -427,7 +434,7 @@ class KeyReader:
         """``locations`` asks for coordinates, which this reader has none of."""
         if locations:
             raise ValueError("no locations of nodes are read")
-        reader = PbfReader({"path": filename, "ring_rule": self.ring_rule})
+        reader = PbfReader({"path": filename, "ring_rule": self.ring_rule, "split_bytes": str(1 << 62)})
         for part in reader.partitions():
             for batch in reader.read(part):
                 for kind, ident in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
