@@ -4,8 +4,9 @@ Phrases are mined level by level. A phrase can be frequent only if the phrases o
 document is a row of numbers, one a position: the number of the frequent phrase of the last level that begins there, or -1. A
 phrase of the next level is two neighbouring numbers, one 64-bit key, exact by itself. Each level takes these steps:
 
-* *Bound.* Tasks count the keys into ``SLOTS`` hashed counters with ``bincount``; the arrays of all tasks are summed in a tree. A key whose
-  counter stays below the least count isn't frequent.
+* *Bound.* Tasks count the keys into hashed counters with ``bincount``; the arrays of all tasks are summed in a tree. A key whose
+  counter stays below the least count isn't frequent. Counters are so many that one gets a ``CROWD``-th of the least count on average, whatever the
+  size of the corpus: ``SLOTS`` of them a round, in as many rounds as it takes.
 * *Candidates.* The distinct keys that pass the bound and whose two parts are frequent: none that is frequent is missing.
 * *Count.* Candidates get slots of a minimal perfect hash (:mod:`setlake.llm.mph`), whose stored keys verify each lookup. Tasks count into one
   array by slot; arrays are cut into pieces and summed in a tree.
@@ -34,8 +35,10 @@ from pyspark.sql import functions as F
 from setlake.llm.common import begin_work, drop_scratch, materialise, release_shuffles, running_sums
 from setlake.llm.mph import PerfectHash, build, mixed, spread
 
-#: Counters of a level's bound, candidates and words of a round, keys of a shard, counters of a piece. Together these bound what a task holds and what is broadcast.
+#: Counters of a round of a level's bound, candidates and words of a round, keys of a shard, counters of a piece. Together these bound what a task holds; what is broadcast besides is a bit a counter.
 SLOTS, CANDIDATES, WORDS, SHARD, PIECE = 1 << 22, 1 << 21, 1 << 19, 1 << 16, 1 << 16
+#: Occurrences that a counter of the bound gets on average: the least count over this.
+CROWD = 8
 #: Distinct keys or words that a task holds before it passes them on, numbers that are looked up at once, and slots that are held for one ``bincount``.
 HELD, CHUNK, LOT = 1 << 17, 1 << 19, 1 << 20
 #: First stage of a tree of sums: tasks are dealt to so many branches.
@@ -186,7 +189,7 @@ def _reaching(pieces: DataFrame, least: int) -> DataFrame:
 
 
 def _gathered(bits: DataFrame, n: int) -> np.ndarray:
-    """The bits of ``n`` counters. The driver gets n / 8 bytes, bounded by SLOTS and CANDIDATES."""
+    """The bits of ``n`` counters of a round. The driver gets n / 8 bytes, bounded by SLOTS and CANDIDATES."""
     out = np.zeros(-(-n // PIECE) * PIECE // 8, np.uint8)
     for r in bits.collect():
         out[r["piece"] * PIECE // 8 :][: len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
@@ -216,15 +219,24 @@ def _counted(rows: DataFrame, n: int, slots: Callable[[np.ndarray], np.ndarray],
     return _summed(rows.mapInArrow(run, _PART), least)
 
 
-def _bounded(rows: DataFrame, least: int) -> np.ndarray:
-    """Which hashed counters reach ``least``."""
-    n = SLOTS
-    return _gathered(_counted(rows, n, lambda keys: (mixed(keys, 62) % np.uint64(n)).astype(np.int64), least), n)
+def _bounded(rows: DataFrame, least: int, places: int) -> np.ndarray:
+    """Which hashed counters reach ``least``; ``places`` is how many keys there are at most."""
+    n, rounds = SLOTS, -(-CROWD * places // (least * SLOTS)) or 1
+
+    def slots(keys: np.ndarray, own: int) -> np.ndarray:
+        at = _counter(keys, n * rounds)
+        return np.where(at // n == own, at % n, -1) if rounds > 1 else at
+
+    return np.concatenate([_gathered(_counted(rows, n, lambda keys, own=own: slots(keys, own), least), n)[: n // 8] for own in range(rounds)])
+
+
+def _counter(keys: np.ndarray, n: int) -> np.ndarray:
+    return (mixed(keys, 62) % np.uint64(n)).astype(np.int64)
 
 
 def _candidates(rows: DataFrame, bound: np.ndarray) -> DataFrame:
     """The distinct keys that pass the bound, with the hash that deals them to rounds and shards."""
-    shared, n, most = rows.sparkSession.sparkContext.broadcast(bound), SLOTS, HELD
+    shared, n, most = rows.sparkSession.sparkContext.broadcast(bound), 8 * len(bound), HELD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin_work(__name__)
@@ -232,7 +244,7 @@ def _candidates(rows: DataFrame, bound: np.ndarray) -> DataFrame:
         for batch in chain(_slices(batches), [None]):
             for _, ids, at in _chunks(batch.column(0).to_pylist()) if batch is not None else ():
                 keys = _pairs(ids, at)
-                held = np.union1d(held, keys[_on(shared.value, (mixed(keys, 62) % np.uint64(n)).astype(np.int64))])
+                held = np.union1d(held, keys[_on(shared.value, _counter(keys, n))])
             if batch is None or len(held) > most:
                 yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(spread(held))], names=["key", "spread"])
                 held = held[:0]
@@ -255,10 +267,10 @@ def _hashed(candidates: DataFrame, n: int, rounds: int, own: int) -> PerfectHash
     return PerfectHash(shards, n_shards, rounds, own)
 
 
-def _level(rows: DataFrame, least: int, onward: bool) -> tuple[DataFrame, DataFrame | None]:
-    """The frequent phrases of the next level (id, head, tail, n; head and tail are numbers of this one), and the rows in their numbers if wanted."""
+def _level(rows: DataFrame, least: int, places: int, onward: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The frequent phrases of the next level (id, head, tail, n; head and tail are numbers of this one), and the rows in their numbers if wanted. ``places``: how many numbers there are."""
     spark = rows.sparkSession
-    candidates = materialise(_candidates(rows, _bounded(rows, least)), "candidates")
+    candidates = materialise(_candidates(rows, _bounded(rows, least, places)), "candidates")
     n = candidates.count()
     rounds, found, base, turned = -(-n // CANDIDATES) or 1, None, 0, rows.select("ids", F.lit(None).cast("binary").alias("next"))
     for own in range(rounds):
@@ -325,7 +337,7 @@ def phrases(df: DataFrame, text_col: str = "text", lang_col: str = "lang", *, lo
     level = words.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), series().alias("heads"), series().alias("tails"), "n")
     out = None
     for length in range(2, longest + 1):
-        found, turned = _level(rows, least, length < longest)
+        found, turned = _level(rows, least, level.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], length < longest)
         drop_scratch(df.sparkSession, rows)
         rows = turned
         first = level.select(F.col("id").alias("head"), "lang", "phrase", "heads")
