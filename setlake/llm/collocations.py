@@ -7,7 +7,9 @@ phrase of the next level is two neighbouring numbers, one 64-bit key, exact by i
 * *Bound.* Tasks count the keys into hashed counters with ``bincount``; the arrays of all tasks are summed in a tree. A key whose
   counter stays below the least count isn't frequent. Counters are so many that one gets a ``CROWD``-th of the least count on average, whatever the
   size of the corpus: ``SLOTS`` of them a round, in as many rounds as it takes.
-* *Candidates.* The distinct keys that pass the bound and whose two parts are frequent: none that is frequent is missing.
+* *Candidates.* The distinct keys that pass the bound and whose two parts are frequent. A task passes one on only if it has its share there: a key
+  that is short of ``least`` times a task's share of the places in every task is short of ``least`` in all. So none that is frequent is missing. Keys travel
+  as sorted arrays, a piece of all hashes each, that are merged.
 * *Count.* Candidates get slots of a minimal perfect hash (:mod:`setlake.llm.mph`), whose stored keys verify each lookup. Tasks count into one
   array by slot; arrays are cut into pieces and summed in a tree.
 * *Number.* Slots of frequent phrases are the numbers of the next level.
@@ -37,6 +39,8 @@ from setlake.llm.mph import PerfectHash, build, mixed, spread
 
 #: Counters of a round of a level's bound, candidates and words of a round, keys of a shard, counters of a piece. Together these bound what a task holds; what is broadcast besides is a bit a counter.
 SLOTS, CANDIDATES, WORDS, SHARD, PIECE = 1 << 22, 1 << 21, 1 << 19, 1 << 16, 1 << 16
+#: Pieces that candidates are dealt to by hash while they are merged.
+KEY_PIECES = 256
 #: Occurrences that a counter of the bound gets on average: the least count over this.
 CROWD = 8
 #: Distinct keys or words that a task holds before it passes them on, numbers that are looked up at once, and slots that are held for one ``bincount``.
@@ -234,34 +238,66 @@ def _counter(keys: np.ndarray, n: int) -> np.ndarray:
     return (mixed(keys, 62) % np.uint64(n)).astype(np.int64)
 
 
-def _candidates(rows: DataFrame, bound: np.ndarray) -> DataFrame:
-    """The distinct keys that pass the bound, with the hash that deals them to rounds and shards."""
+def _split(keys: np.ndarray, by: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Keys by number."""
+    order = np.argsort(by, kind="stable")
+    numbers, starts = np.unique(by[order], return_index=True)
+    yield from zip(numbers.tolist(), np.split(keys[order], starts[1:]), strict=True)
+
+
+def _candidates(rows: DataFrame, bound: np.ndarray, least: int, places: int) -> DataFrame:
+    """The distinct keys that may be frequent: rows piece, n, keys."""
     shared, n, most = rows.sparkSession.sparkContext.broadcast(bound), 8 * len(bound), HELD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin_work(__name__)
-        held = np.zeros(0, np.uint64)
+        held, counts, here = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         for batch in chain(_slices(batches), [None]):
             for _, ids, at in _chunks(batch.column(0).to_pylist()) if batch is not None else ():
                 keys = _pairs(ids, at)
-                held = np.union1d(held, keys[_on(shared.value, _counter(keys, n))])
-            if batch is None or len(held) > most:
-                yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(spread(held))], names=["key", "spread"])
-                held = held[:0]
+                here += len(keys)
+                keys, found = np.unique(keys[_on(shared.value, _counter(keys, n))], return_counts=True)
+                held, back = np.unique(np.concatenate([held, keys]), return_inverse=True)
+                counts = np.bincount(back, weights=np.concatenate([counts, found]), minlength=len(held)).astype(np.int64)
+            if here and (batch is None or len(held) > most):
+                keys = held[counts * places >= least * here]
+                for piece, part in _split(keys, spread(keys) % KEY_PIECES) if len(keys) else ():
+                    yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([part.tobytes()], pa.binary())], names=["piece", "keys"])
+                held, counts, here = held[:0], counts[:0], 0
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_work(__name__)
+        held, piece = np.zeros(0, np.uint64), None
+        for batch in chain(_slices(batches, 64), [None]):
+            for number, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if batch is not None else [(None, b"")]:
+                if number != piece:
+                    if len(held):
+                        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([len(held)], pa.int64()), pa.array([held.tobytes()], pa.binary())], names=["piece", "n", "keys"])
+                    held, piece = held[:0], number
+                held = np.union1d(held, np.frombuffer(keys, np.uint64))
 
-    return rows.mapInArrow(run, "key long, spread long").distinct()
+    parts = rows.mapInArrow(run, "piece long, keys binary").repartition("piece").sortWithinPartitions("piece")
+    return parts.mapInArrow(merge, "piece long, n long, keys binary")
 
 
 def _hashed(candidates: DataFrame, n: int, rounds: int, own: int) -> PerfectHash:
     """The perfect hash of a round, at most CANDIDATES keys or about so many, from shards that tasks build."""
     n_shards = -(-n // rounds // SHARD) or 1
 
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, 16):
+            keys = np.concatenate([np.frombuffer(k, np.uint64) for k in batch.column(0).to_pylist()])
+            dealt = spread(keys)
+            mine = dealt % rounds == own
+            for shard, part in _split(keys[mine], dealt[mine] // rounds % n_shards) if mine.any() else ():
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([part.tobytes()], pa.binary())], names=["shard", "keys"])
+
     def built(group: pa.Table) -> pa.Table:
-        levels = build(np.sort(group.column("key").to_numpy()).view(np.uint64))
+        levels = build(np.sort(np.concatenate([np.frombuffer(k, np.uint64) for k in group.column("keys").to_pylist()])))
         return pa.table({"shard": [group.column("shard")[0].as_py()] * len(levels), "level": list(range(len(levels))), "bits": [b.tobytes() for b, _ in levels], "keys": [k.tobytes() for _, k in levels]}, pa.schema([("shard", pa.int64()), ("level", pa.int64()), ("bits", pa.binary()), ("keys", pa.binary())]))
 
-    dealt = candidates.filter(F.col("spread") % rounds == own).select("key", F.floor(F.col("spread") / rounds).cast("long").alias("s")).select("key", (F.col("s") % n_shards).alias("shard"))
     shards: dict[int, list] = {}
+    dealt = candidates.select("keys").mapInArrow(deal, "shard long, keys binary")
     for r in dealt.groupBy("shard").applyInArrow(built, "shard long, level long, bits binary, keys binary").orderBy("shard", "level").collect():
         shards.setdefault(r["shard"], []).append((np.frombuffer(r["bits"], np.uint64), np.frombuffer(r["keys"], np.uint64)))
     return PerfectHash(shards, n_shards, rounds, own)
@@ -270,8 +306,8 @@ def _hashed(candidates: DataFrame, n: int, rounds: int, own: int) -> PerfectHash
 def _level(rows: DataFrame, least: int, places: int, onward: bool) -> tuple[DataFrame, DataFrame | None]:
     """The frequent phrases of the next level (id, head, tail, n; head and tail are numbers of this one), and the rows in their numbers if wanted. ``places``: how many numbers there are."""
     spark = rows.sparkSession
-    candidates = materialise(_candidates(rows, _bounded(rows, least, places)), "candidates")
-    n = candidates.count()
+    candidates = materialise(_candidates(rows, _bounded(rows, least, places), least, places), "candidates")
+    n = candidates.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rounds, found, base, turned = -(-n // CANDIDATES) or 1, None, 0, rows.select("ids", F.lit(None).cast("binary").alias("next"))
     for own in range(rounds):
         table = _hashed(candidates, n, rounds, own)
