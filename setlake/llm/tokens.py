@@ -23,7 +23,7 @@ import sys
 from array import array
 from collections.abc import Callable
 
-from setlake.llm.common import worker_cache
+from setlake.llm.common import give_back, worker_cache
 
 #: The public byte-level pattern (fixed value), and the texts it is trusted on: Latin ones without disputed control characters or very long blanks.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -75,6 +75,7 @@ def encoder(path: str, specials_as_text: bool = False) -> Callable[[list[str | N
     whole.encode_special_tokens = specials_as_text
     added = [] if specials_as_text else [t.content for t in whole.get_added_tokens_decoder().values()]
     fast = ranks and tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    give_back()  # loading takes much that stays free
 
     def sure(text: str) -> bool:
         return bool(fast and _PLAIN.fullmatch(text)) and not any(a in text for a in added) and (len(text) < LONG_BLANKS or not _BLANKS.search(text))

@@ -11,6 +11,7 @@ import re
 import time
 import unicodedata
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from setlake.llm import arrow_files, bpe, catalogue, langid, media, packing, secrets, tokens
-from setlake.llm.common import scratch
+from setlake.llm.common import begin_work, scratch, worker_cache
 
 JSON, RANKS = catalogue.TOKENIZER_JSON, catalogue.TOKENIZER_RANKS
 TEXTS = [
@@ -51,6 +52,23 @@ def random_texts(n: int) -> list[str]:
     return ["".join(rng.choices(pieces, k=rng.randint(0, 60))) for _ in range(n)]
 
 
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="reads Linux's own figures")
+def test_a_worker_that_turns_to_other_work_gives_its_memory_back():
+    held = lambda: int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+    pins = []
+
+    @worker_cache
+    def kept() -> list[bytes]:
+        # what is pinned lies between, so that the allocator doesn't shrink by itself
+        return [bytes(3000) if i % 1000 else pins.append(bytes(3000)) for i in range(40_000)]
+
+    begin_work("one")
+    kept()
+    before = held()
+    begin_work("other")
+    assert held() < before - 80
+
+
 def test_ids_are_the_library_s(library, monkeypatch):
     monkeypatch.setattr(tokens, "LONG_BLANKS", 100)
     monkeypatch.setattr(tokens, "_BLANKS", re.compile(r"\s{100}"))
