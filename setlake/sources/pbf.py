@@ -6,7 +6,8 @@ with their references and tags), ``ring_rule``, and ``split_bytes``. A schema of
 one with references or tags asks for elements. Filters on ``osm_type`` and ``source`` are taken over: elements of other types stay undecoded, other files
 unopened. Nodes are skipped unread. Rows leave as Arrow batches.
 
-Planning cuts files into ranges of bytes by their size alone and opens none. A task finds the first blob of its range itself (:func:`first_blob`), so
+Planning cuts files into ranges of bytes by their size alone and opens none; ``split_bytes`` is the least size of a range, and with much to read ranges grow
+up to ``SPLIT_BYTES``. A task finds the first blob of its range itself (:func:`first_blob`), so
 one large file is read by many tasks and any cuts give the same rows.
 """
 
@@ -36,6 +37,9 @@ MAX_HEADER, MAX_BLOB = 64 * 1024, 32 * 1024 * 1024
 #: Required features that this reader understands.
 FEATURES = {b"OsmSchema-V0.6", b"DenseNodes", b"HistoricalInformation"}
 BATCH_ROWS, SPLIT_BYTES = 65_536, 128 << 20
+#: Stretches that small splits are widened to, up to SPLIT_BYTES each, as a task costs more than a small stretch does.
+MANY = 256
+_AREAS = {t.encode() for t in RELATION_TYPES}
 #: Field numbers of ways and relations in a group.
 KINDS = {"way": 3, "relation": 4}
 #: Where a blob may start: a length of at most MAX_HEADER, then the first field of its header.
@@ -64,12 +68,12 @@ def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
     """(number, value) of each field of a message: integers for varints, bytes for the rest."""
     at, end = 0, len(data)
     while at < end:
-        tag, at = _varint(data, at)
+        tag, at = (data[at], at + 1) if data[at] < 0x80 else _varint(data, at)
         kind = tag & 7
         if kind == 0:
             value, at = _varint(data, at)
         elif kind == 2:
-            size, at = _varint(data, at)
+            size, at = _varint(data, at) if at == end or data[at] > 0x7F else (data[at], at + 1)
             value, at = data[at : at + size], at + size
             if at > end:
                 raise ValueError("field runs past its message")
@@ -93,6 +97,19 @@ def packed(data: bytes) -> np.ndarray:
     return np.add.reduceat(parts, starts).astype(np.int64)
 
 
+def _numbers(data: bytes) -> list[int]:
+    """:func:`packed` as a list, for few and mostly small numbers."""
+    if data.isascii():
+        return list(data)
+    if len(data) > 64 or data[-1] > 0x7F:
+        return packed(data).tolist()
+    out, at = [], 0
+    while at < len(data):
+        value, at = _varint(data, at)
+        out.append(value)
+    return out
+
+
 def _zigzag(values: np.ndarray) -> np.ndarray:
     return (values >> 1) ^ -(values & 1)
 
@@ -288,11 +305,11 @@ def block_identities(block: bytes, rule: str, kinds: Iterable[str] = tuple(KINDS
         refs, starts = _references([w.get(8, b"") for w in parsed])
         ids = np.array([w.get(1, 0) for w in parsed], np.uint64).astype(np.int64)
         way_ids = ids[closed(refs, starts, rule) & (ids > 0)].tolist()
-    areas = {i for i, s in enumerate(strings) if s in {t.encode() for t in RELATION_TYPES}}
+    areas = {i for i, s in enumerate(strings) if s in _AREAS}
     named = {i for i, s in enumerate(strings) if s == b"type"}
     relation_ids = []
     for relation in map(_message, found.get("relation", ())):
-        pairs = zip(packed(relation.get(2, b"")).tolist(), packed(relation.get(3, b"")).tolist(), strict=False)
+        pairs = zip(*(_numbers(relation.get(n, b"")) for n in (2, 3)), strict=False)
         if any(k in named and v in areas for k, v in pairs) and 0 < relation.get(1, 0) < 1 << 63:
             relation_ids.append(relation[1])
     return way_ids, relation_ids
@@ -352,12 +369,10 @@ class PbfReader(DataSourceReader):
         return self.wanted[column] is None or value in self.wanted[column]
 
     def partitions(self) -> list[Stretch]:
-        out = []
-        for path in map(str, self.paths):
-            source = path.rsplit("/", 1)[-1].removesuffix(".osm.pbf")
-            if self._keeps("source", source):
-                size = _size(path)
-                out += [Stretch(path, source, at, min(at + self.split, size)) for at in range(0, size, self.split)]
+        named = [(path, path.rsplit("/", 1)[-1].removesuffix(".osm.pbf")) for path in map(str, self.paths)]
+        files = [(path, source, _size(path)) for path, source in named if self._keeps("source", source)]
+        split = max(self.split, min(SPLIT_BYTES, -(-sum(size for *_, size in files) // MANY)))
+        out = [Stretch(path, source, at, min(at + split, size)) for path, source, size in files for at in range(0, size, split)]
         return out or [Stretch("", "", 0, 0)]
 
     def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
