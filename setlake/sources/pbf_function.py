@@ -7,6 +7,7 @@ source; mode and ring rule may be left out.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
@@ -47,7 +48,7 @@ class PbfScan:
 
 def stretches(spark: SparkSession, paths: Sequence[Path | str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Files cut by size into rows path, start, stop, each a partition."""
-    parts = [(p.path, p.start, p.stop) for path in paths for p in PbfReader({"path": str(path), "split_bytes": str(split_bytes)}).partitions() if p.path]
+    parts = [(p.path, p.start, p.stop) for p in PbfReader({"paths": json.dumps([str(p) for p in paths]), "split_bytes": str(split_bytes)}).partitions() if p.path]
     rows = spark.createDataFrame([(i, *p) for i, p in enumerate(parts)], "i int, path string, start long, stop long")
     return rows.repartitionById(max(1, len(parts)), F.col("i")).drop("i")
 
