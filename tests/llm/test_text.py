@@ -423,6 +423,26 @@ def test_bands_find_every_match_within_seven_bits(spark):
     assert {(2 * k, 2 * k + 1) for k in range(60) if k % 30 <= 7} <= got <= {(2 * k, 2 * k + 1) for k in range(60) if k % 30 <= media.MAX_BITS}
 
 
+def test_bands_are_laid_out_in_passes(spark, monkeypatch):
+    images = [picture(i) for i in range(3)] + [picture(i)[4:90, 6:94] for i in range(3)]
+    table = spark.createDataFrame([(i, v.tobytes(), v.shape[1]) for i, v in enumerate(images)], "image_id long, pixels binary, width int").cache()
+    whole = sorted(media.copy_classes(table).collect())
+    laid, banded = [], media._banded
+    monkeypatch.setattr(media, "_banded", lambda rows, *a: laid.append((rows.count(), (out := banded(rows, *a)).count())) or out)
+    n = sum(r.n_features for r in whole)
+    monkeypatch.setattr(media, "PASS_ROWS", -(-8 * n // 16))
+    monkeypatch.setattr(media, "VOTE_ROWS", 100)
+    monkeypatch.setattr(media, "MAX_PASSES", 16)
+    assert sorted(media.copy_classes(table).collect()) == whole
+    assert [r.class_id for r in whole] == [0, 1, 2, 0, 1, 2]
+    assert len(laid) == 4 + 16 and max(rows for _, rows in laid) < n  # before: up to 8 n at once
+    for bands in (2, 8):
+        for rows in (0, 1, 10**6, 10**9):
+            found = media.passes(rows, bands)
+            parts = found[0][1]
+            assert len(found) <= media.MAX_PASSES and sorted((b, part) for only, _, part in found for b in only) == [(b, part) for b in range(bands) for part in range(parts)]
+
+
 def test_images_are_told_apart_by_pixels(spark):
     """Ids that are shared by different pictures, or null, and columns named like internal ones."""
     a, b, c = picture(1), picture(2), picture(3)
