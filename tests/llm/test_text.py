@@ -443,6 +443,42 @@ def test_bands_are_laid_out_in_passes(spark, monkeypatch):
             assert len(found) <= media.MAX_PASSES and sorted((b, part) for only, _, part in found for b in only) == [(b, part) for b in range(bands) for part in range(parts)]
 
 
+def test_alike_images_are_compared_in_blocks(spark, monkeypatch):
+    """Crops and edits, images that share a corner, a crowd and one without a keypoint: blocks of images give the classes of shuffled matches, which are not laid out."""
+    base, logo, rng = picture(3), picture(5), np.random.default_rng(7)
+    group = [np.clip(base[i : 80 + i, i % 7 : 84 + i % 5] + rng.normal(0, 2, (80, 84 + i % 5 - i % 7)), 0, 255) for i in range(12)]
+    group += [np.where(np.arange(96)[:, None] + np.arange(96) < 110, logo, picture(20 + i)) for i in range(10)] + [picture(40 + i) for i in range(3)] + [turned(picture(40), 30), np.zeros((50, 50))]
+    rows = [(i, bytearray(np.rint(v).astype(np.uint8).tobytes()), v.shape[1]) for i, v in enumerate(group)]
+    table = spark.createDataFrame(rows, "image_id long, pixels binary, width int").cache()
+    shuffled = sorted(media.copy_classes(table).collect())
+    monkeypatch.setattr(media, "_chained", lambda rows, edges: rows[:0, :4])  # all links are left to the second round
+    monkeypatch.setattr(media, "matches", None)
+    monkeypatch.setattr(media, "BAND_PAIRS", -1)
+    n = sum(r.n_features for r in shuffled)
+    for block, meetings, few in ((n, 1 << 25, 1024), (n // 5, 5000, 0), (n // 9, 1, 1 << 30)):
+        monkeypatch.setattr(media, "BLOCK_ROWS", block)
+        monkeypatch.setattr(media, "PASS_BYTES", 40 * n * (1 + n // block) // 3)
+        monkeypatch.setattr(media, "MEETINGS", meetings)
+        monkeypatch.setattr(media, "FEW_PAIRS", few)
+        assert sorted(media.copy_classes(table).collect()) == shuffled
+    assert [r.class_id for r in shuffled] == [0] * 12 + [12] * 10 + [22, 23, 24, 22, 26]
+
+
+def test_links_of_blocks_equal_brute_force(monkeypatch):
+    """Of one block and of two, with groups known and not; pairs within a group are left out."""
+    monkeypatch.setattr(media, "FEW_PAIRS", 40)
+    rng, base = np.random.default_rng(3), [picture(i) for i in range(4)]
+    images = [np.rint(np.clip(base[i % 4][i : i + 84, i : i + 80] + rng.normal(0, 2, (84, 80)), 0, 255)).astype(np.uint8) for i in range(12)]
+    known = linked_by_brute_force(images)
+    found = [media.describe(v.tobytes(), v.shape[1]) for v in images]
+    for groups in (range(12), [i % 4 if i < 8 else i for i in range(12)], [0] * 12):
+        rows = [(i, g, (p @ np.array([1 << 34, 1 << 12, 1 << 10, 1])).tobytes(), w.tobytes()) for i, (g, (p, w)) in enumerate(zip(groups, found, strict=True))]
+        a, b, whole = media._Block(rows[:5]), media._Block(rows[5:]), media._Block(rows)
+        want = {(i, j) for i, j in known if groups[i] != groups[j]}
+        assert {tuple(x) for x in media._links(whole, whole)} == want == {tuple(x) for pair in ((a, a), (b, b), (b, a)) for x in media._links(*pair)}
+    assert len(known) == 12
+
+
 def test_images_are_told_apart_by_pixels(spark):
     """Ids that are shared by different pictures, or null, and columns named like internal ones."""
     a, b, c = picture(1), picture(2), picture(3)
