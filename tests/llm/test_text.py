@@ -454,6 +454,7 @@ def test_alike_images_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(media, "_chained", lambda rows, edges: rows[:0, :4])  # all links are left to the second round
     monkeypatch.setattr(media, "matches", None)
     monkeypatch.setattr(media, "BAND_PAIRS", -1)
+    monkeypatch.setattr(media, "CROWD", 0)
     n = sum(r.n_features for r in shuffled)
     for block, meetings, few in ((n, 1 << 25, 1024), (n // 5, 5000, 0), (n // 9, 1, 1 << 30)):
         monkeypatch.setattr(media, "BLOCK_ROWS", block)
@@ -467,6 +468,7 @@ def test_alike_images_are_compared_in_blocks(spark, monkeypatch):
 def test_links_of_blocks_equal_brute_force(monkeypatch):
     """Of one block and of two, with groups known and not; pairs within a group are left out."""
     monkeypatch.setattr(media, "FEW_PAIRS", 40)
+    monkeypatch.setattr(media, "CROWD", 50)
     rng, base = np.random.default_rng(3), [picture(i) for i in range(4)]
     images = [np.rint(np.clip(base[i % 4][i : i + 84, i : i + 80] + rng.normal(0, 2, (84, 80)), 0, 255)).astype(np.uint8) for i in range(12)]
     known = linked_by_brute_force(images)
