@@ -465,6 +465,35 @@ def test_alike_images_are_compared_in_blocks(spark, monkeypatch):
     assert [r.class_id for r in shuffled] == [0] * 12 + [12] * 10 + [22, 23, 24, 22, 26]
 
 
+def test_many_alike_images_are_found_by_neighbours(spark, monkeypatch):
+    """A crowd, images that share a corner, edits and turns: where pairs that share a band are too many, keys of neighbouring keypoints give the same classes without comparing them."""
+    base, logo, rng = picture(3), picture(5), np.random.default_rng(7)
+    group = [np.clip(base[i : 80 + i, i % 7 : 84 + i % 5] + rng.normal(0, 2, (80, 84 + i % 5 - i % 7)), 0, 255) for i in range(9)]
+    group += [np.where(np.arange(96)[:, None] + np.arange(96) < 110, logo, picture(20 + i)) for i in range(5)] + [picture(40 + i) for i in range(3)]
+    group += [np.rot90(picture(40)), media._scaled(picture(41).astype(float), 0.75), picture(42) * 0.8 + 20, np.zeros((50, 50))]
+    rows = [(i, bytearray(np.ascontiguousarray(np.rint(v).astype(np.uint8)).tobytes()), v.shape[1]) for i, v in enumerate(group)]
+    table = spark.createDataFrame(rows, "image_id long, pixels binary, width int").cache()
+    exact = sorted(media.copy_classes(table).collect())
+    for name in ("matches", "_by_blocks", "_banded"):
+        monkeypatch.setattr(media, name, None)
+    # small passes, cells and crowds, so that each way is taken
+    for name, value in (("ALL_PAIRS_OF_BANDS", -1), ("KEY_ROWS", 1), ("EACH", 6), ("CELL_ROWS", 3), ("JUDGED_PAIRS", 10)):
+        monkeypatch.setattr(media, name, value)
+    assert sorted(media.copy_classes(table).collect()) == exact
+    assert [r.class_id for r in exact] == [0] * 9 + [9] * 5 + [14, 15, 16, 14, 15, 16, 20]
+
+
+def test_neighbours_of_many_keypoints_equal_brute_force():
+    rng = np.random.default_rng(1)
+    for n, wide in ((700, 3000), (300, 5)):
+        x, y = rng.integers(0, wide, n).astype(float), rng.integers(0, 3000, n).astype(float)
+        far = (x[:, None] - x) ** 2 + (y[:, None] - y) ** 2
+        far[far < 1] = np.inf
+        p, q = media._nearest(x, y, 2)
+        assert (np.bincount(p, minlength=n) == 2).all()
+        assert (np.sort(far[p, q][np.argsort(p, kind="stable")].reshape(n, 2)) == np.sort(far, axis=1)[:, :2]).all()
+
+
 def test_links_of_blocks_equal_brute_force(monkeypatch):
     """Of one block and of two, with groups known and not; pairs within a group are left out."""
     monkeypatch.setattr(media, "FEW_PAIRS", 40)
